@@ -154,26 +154,26 @@ def _hot_epochs(rows: DataFrame, key: str, ttl: int, hot_keys: int) -> tuple[Dat
     reliable checkpoint, so neither plan nor recomputation grows.
     """
     span = ttl * 1_000_000
-    sliced = rows.select(
-        key, _arrival(rows).alias("_a"),
-        F.floor(F.unix_micros("ingested_at") / F.lit(span)).cast("bigint").alias("_slice"),
-    )
-    carried = _PRIOR in rows.columns
-    if carried:
-        # A carried entry holds its key before any event does, whatever its slice.
-        before_all = sliced.agg(F.min("_slice") - 1).first()[0]
-        entry = F.col("_a")[_PRIOR] == 0
-        sliced = sliced.withColumn("_slice", F.when(entry, F.lit(before_all)).otherwise(F.col("_slice")))
-    slices = sorted(r[0] for r in sliced.select("_slice").distinct().collect())
+    rows = rows.withColumn("_a", _arrival(rows))
     state: DataFrame | None = None
+    if _PRIOR in rows.columns:
+        # Carried entries hold their keys before any event does.
+        entries = rows.filter(F.col(_PRIOR) == 0)
+        state = cut(entries.groupBy(key).agg(F.array(F.min("_a")).alias("_epochs")))
+        rows = rows.filter(F.col(_PRIOR) == 1)
+    at = F.col("ingested_at")
+    slice_of = F.floor(F.unix_micros(at) / F.lit(span)).cast("bigint")
+    slices = sorted(r[0] for r in rows.select(slice_of.alias("s")).distinct().collect())
     for s in slices:
-        now = sliced.filter(F.col("_slice") == s)
+        # A plain range on the stored column, so that a scan skips the other slices.
+        low, high = (F.timestamp_micros(F.lit(x * span)) for x in (s, s + 1))
+        now = rows.filter((at >= low) & (at < high)).select(key, "_a")
         if state is None:
             state = now.groupBy(key).agg(F.array(F.min("_a")).alias("_epochs"))
         else:
             state = _advance(state, now, key, ttl, hot_keys)
         state = cut(state)
-    return state, len(slices)
+    return state, len(slices) + 1
 
 
 def _advance(state: DataFrame, now: DataFrame, key: str, ttl: int, hot_keys: int) -> DataFrame:

@@ -6,10 +6,12 @@ the new mark. A run that stops in between is simply run again.
 Two modes:
 
 ``full_bucket`` (default)
-    The slice is contiguous in decision time, so only the bucket holding the old
-    mark can be half covered. Reading from the start of that bucket recomputes
-    every touched bucket in full. Gold is partitioned by bucket, hence the run
-    replaces whole partitions, reads no old Gold and can be repeated at will.
+    Gold is partitioned by day. The slice is contiguous in decision time, so only
+    the day holding the old mark can be half covered: reading Silver from the start
+    of that day recomputes every touched bucket in full. The run replaces whole
+    partitions, reads no old Gold and can be repeated at will, at the price of at
+    most one day of narrow Silver columns beyond the slice. Where that matters more
+    than file count, ``part_unit="hour"`` partitions an hourly table by hour.
 ``slice``
     Aggregates the slice alone and replaces the keys it holds: a bucket spread
     over two runs keeps the values of the last slice only.
@@ -40,11 +42,12 @@ class Pipeline:
     compute: Callable[[DataFrame], DataFrame]
     keys: Sequence[str]
     bucket: str
-    unit: str  # "hour" or "day"
+    unit: str  # bucket length: "hour" or "day"
     schema: StructType
+    part_unit: str = "day"  # partition length; never shorter than the bucket
 
     def part(self) -> Column:
-        pattern = "yyyy-MM-dd-HH" if self.unit == "hour" else "yyyy-MM-dd"
+        pattern = "yyyy-MM-dd-HH" if self.part_unit == "hour" else "yyyy-MM-dd"
         return F.date_format(self.bucket, pattern).alias(PART)
 
     def table_schema(self) -> StructType:
@@ -64,7 +67,7 @@ def slice_input(silver: DataFrame, mark: Column, high: Column) -> DataFrame:
 
 
 def bucket_input(silver: DataFrame, mark: Column, high: Column, unit: str) -> DataFrame:
-    """From the start of the bucket that holds the mark, up to the frozen bound."""
+    """From the start of the partition that holds the mark, up to the frozen bound."""
     start = F.date_trunc(unit, mark) - F.expr("interval 1 microsecond")
     return watermark.slice_of(silver, start, high)
 
@@ -111,7 +114,7 @@ def run(
     if high_us is None:
         return None
     high = watermark.instant(high_us)
-    source = slice_input(silver, mark, high) if mode == "slice" else bucket_input(silver, mark, high, pipeline.unit)
+    source = slice_input(silver, mark, high) if mode == "slice" else bucket_input(silver, mark, high, pipeline.part_unit)
     stamped = schemas.conform(
         pipeline.compute(source).withColumn("aggregated_at", F.current_timestamp()), pipeline.schema
     ).withColumn(PART, pipeline.part())

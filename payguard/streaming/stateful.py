@@ -21,6 +21,9 @@ from payguard.schemas import SILVER, conform, struct_of
 from payguard.streaming.dedup import stamp
 
 
+FOUND = struct_of("dedup_status string, rejection_reason string, original_payment_id string")
+
+
 class FirstSight(StatefulProcessor):
     """Per key: who holds it since when. Rows are decided in arrival order."""
 
@@ -43,7 +46,7 @@ class FirstSight(StatefulProcessor):
                 found = (S.ACCEPTED, None, None)
             else:
                 found = (S.REJECTED_DUPLICATE, S.DUPLICATE_REASON, holder[0])
-            yield Row(*[r[c] for c in self.columns], *found)
+            yield Row(**{c: r[c] for c in self.columns}, **dict(zip(FOUND.fieldNames(), found)))
         if holder != before:
             self.held.update(holder)
 
@@ -54,8 +57,7 @@ class FirstSight(StatefulProcessor):
 def decide_stream(stream: DataFrame, ttl: int = S.TTL_SECONDS) -> DataFrame:
     """The streaming counterpart of ``dedup.decide``: append output, one row per event."""
     rows = stream.drop("original_payment_id")
-    found = struct_of("dedup_status string, rejection_reason string, original_payment_id string")
-    schema = T.StructType([*rows.schema.fields, *found.fields])
+    schema = T.StructType([*rows.schema.fields, *FOUND.fields])
     return rows.groupBy("idempotency_key").transformWithState(
         statefulProcessor=FirstSight(rows.columns, arrival_columns(rows), ttl),
         outputStructType=schema,
