@@ -8,7 +8,6 @@ bounded by the size of a batch; with hot keys use ``streaming.dedup``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -25,15 +24,16 @@ FOUND = struct_of("dedup_status string, rejection_reason string, original_paymen
 
 
 class FirstSight(StatefulProcessor):
-    """Per key: who holds it since when. Rows are decided in arrival order."""
+    """Per key: who holds it since when. Rows are decided in arrival order.
+
+    Times are compared as epoch microseconds (``_us``), which no time zone touches.
+    """
 
     def __init__(self, columns: list[str], order: list[str], ttl: int) -> None:
-        self.columns, self.order, self.ttl = columns, order, timedelta(seconds=ttl)
+        self.columns, self.order, self.ttl_us = columns, order, ttl * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState(
-            "held", struct_of("payment_id string, accepted_at timestamp")
-        )
+        self.held = handle.getValueState("held", struct_of("payment_id string, accepted_us long"))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         holder = tuple(self.held.get()) if self.held.exists() else None
@@ -41,8 +41,8 @@ class FirstSight(StatefulProcessor):
         # Null sorts before any value, as it does in the batch order.
         position = lambda r: tuple((r[c] is not None, r[c]) for c in self.order)
         for r in sorted(rows, key=position):
-            if holder is None or r["ingested_at"] >= holder[1] + self.ttl:
-                holder = (r["payment_id"], r["ingested_at"])
+            if holder is None or r["_us"] >= holder[1] + self.ttl_us:
+                holder = (r["payment_id"], r["_us"])
                 found = (S.ACCEPTED, None, None)
             else:
                 found = (S.REJECTED_DUPLICATE, S.DUPLICATE_REASON, holder[0])
@@ -58,8 +58,10 @@ def decide_stream(stream: DataFrame, ttl: int = S.TTL_SECONDS) -> DataFrame:
     """The streaming counterpart of ``dedup.decide``: append output, one row per event."""
     rows = stream.drop("original_payment_id")
     schema = T.StructType([*rows.schema.fields, *FOUND.fields])
-    return rows.groupBy("idempotency_key").transformWithState(
-        statefulProcessor=FirstSight(rows.columns, arrival_columns(rows), ttl),
+    order = ["_us" if c == "ingested_at" else c for c in arrival_columns(rows)]
+    timed = rows.withColumn("_us", F.unix_micros("ingested_at"))
+    return timed.groupBy("idempotency_key").transformWithState(
+        statefulProcessor=FirstSight(rows.columns, order, ttl),
         outputStructType=schema,
         outputMode="append",
         timeMode="None",
