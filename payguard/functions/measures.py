@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from payguard import settings as S
 
@@ -78,35 +79,31 @@ def latency_histogram(silver: DataFrame, by: Sequence[str] = (), bins: int = S.H
     """Equal-width histogram of the latency, each group over its own range.
 
     The last bin is closed; a constant group gets a range half a unit to each
-    side. Bins without rows are listed with zero. All steps after the first
-    count work on distinct latencies. The bin of an integer latency is found by
-    integer division, so no edge is lost to rounding.
+    side. Bins without rows are listed with zero. The rows are read once and
+    counted per distinct latency; range, bins and empty bins are worked out on
+    those counters. The bin of an integer latency is found by integer division,
+    so no edge is lost to rounding.
     """
     by = list(by)
     lat = F.col("processing_latency_ms").cast("bigint")
     per_value = silver.filter(lat.isNotNull()).groupBy(*by, lat.alias("ms")).agg(F.count("*").alias("n"))
-    extremes = (F.min("ms").alias("lo"), F.max("ms").alias("hi"))
-    if by:
-        bounds = per_value.groupBy(*by).agg(*extremes)
-        placed = per_value.join(bounds, by)
-    else:
-        bounds = per_value.agg(*extremes).filter(F.col("lo").isNotNull())
-        placed = per_value.select("*", bounds.select("lo").scalar().alias("lo"),
-                                  bounds.select("hi").scalar().alias("hi"))
+    group = Window.partitionBy(*by)
+    ranged = per_value.select("*", F.min("ms").over(group).alias("lo"), F.max("ms").over(group).alias("hi"))
     lo, hi = F.col("lo"), F.col("hi")
     flat = lo == hi
-    start = F.when(flat, lo - F.lit(0.5)).otherwise(lo.cast("double"))
-    width = F.when(flat, F.lit(1.0 / bins)).otherwise((hi - lo).cast("double") / bins)
-    ranges = bounds.select(*by, start.alias("_start"), width.alias("_width"),
-                           F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     slot = F.expr(f"least({bins - 1}, (ms - lo) * {bins} div nullif(hi - lo, 0))")
-    counts = (
-        placed.select(*by, F.when(flat, F.lit(bins // 2)).otherwise(slot).cast("int").alias("bin"), "n")
-        .groupBy(*by, "bin").agg(F.sum("n").alias("n"))
+    filled = (
+        ranged.groupBy(*by, "lo", "hi", F.when(flat, bins // 2).otherwise(slot).cast("int").alias("bin"))
+        .agg(F.sum("n").alias("n"))
+        .groupBy(*by, "lo", "hi")
+        .agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_filled"))
     )
-    return ranges.join(counts, [*by, "bin"], "left").select(
+    start = F.when(flat, lo - F.lit(0.5)).otherwise(lo.cast("double"))
+    width = F.when(flat, F.lit(1.0 / bins)).otherwise((hi - lo).cast("double") / bins)
+    every = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    return filled.select(*by, "_filled", start.alias("_start"), width.alias("_width"), every).select(
         *by, "bin",
         F.round(F.col("_start") + F.col("bin") * F.col("_width"), 6).alias("bin_start"),
         F.round(F.col("_start") + (F.col("bin") + 1) * F.col("_width"), 6).alias("bin_end"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
+        F.coalesce(F.try_element_at("_filled", F.col("bin")), F.lit(0)).cast("bigint").alias("n"),
     )

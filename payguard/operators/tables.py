@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from payguard import settings as S
 from payguard.operators.dedup import arrival_columns
 from payguard.session import cut
 
@@ -27,18 +28,29 @@ def first_per_key(new: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return new.groupBy(key).agg(first).select(key, "_r.*").select(*new.columns)
 
 
-def insert_if_absent(new: DataFrame, existing: DataFrame | None, key: str = "payment_id", order: Sequence[str] | None = None) -> DataFrame:
+def insert_if_absent(
+    new: DataFrame,
+    existing: DataFrame | None,
+    key: str = "payment_id",
+    order: Sequence[str] | None = None,
+    new_rows: int | None = None,
+) -> DataFrame:
     """Rows to append: the first of each key in ``new`` whose key ``existing`` lacks.
 
     The aggregate leaves the rows partitioned by the key, which the anti join
-    reuses, and unique, so the join has no skew; only key columns of ``existing``
-    are read.
+    reuses, and unique, so the join has no skew; only the key column of
+    ``existing`` is read. With few ``new_rows`` (counted by the caller) their keys
+    are broadcast to thin out ``existing`` during its scan, and history is not
+    shuffled at all.
     """
     order = list(order) if order else arrival_columns(new)
     firsts = first_per_key(new, key, order)
     if existing is None:
         return firsts
-    return firsts.join(existing.select(key), key, "left_anti")
+    seen = existing.select(key)
+    if new_rows is not None and new_rows <= S.BROADCAST_ROWS:
+        seen = seen.join(F.broadcast(new.select(key).distinct()), key, "left_semi")
+    return firsts.join(seen, key, "left_anti")
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -60,16 +72,16 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str], rebalance: bool = False) -> None:
     """Overwrite just the partitions present in ``df``.
 
-    REBALANCE lets adaptive execution size the files: a big partition is split
-    over tasks, small ones share a task.
+    ``rebalance`` is for small results spread over many partitions: adaptive
+    execution then sizes the files, splitting a big partition over tasks and
+    letting small ones share one. Wide rows are written where they are.
     """
-    (
-        df.hint("rebalance", *by).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-    )
+    if rebalance:
+        df = df.hint("rebalance", *by)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def append_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
@@ -88,4 +100,4 @@ def upsert_partitions(new: DataFrame, path: str, schema, keys: Sequence[str], pa
         touched = [r[0] for r in new.select(part).distinct().collect()]  # a few dates or hours
         old = spark.read.schema(schema).parquet(path).filter(F.col(part).isin(touched))
         new = cut(upsert(old, new, keys))
-    replace_partitions(new, path, [part])
+    replace_partitions(new, path, [part], rebalance=True)

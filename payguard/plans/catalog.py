@@ -94,6 +94,10 @@ def kafka_projection(spark, d):
     return derived.message_stream(bronze(spark, d)).select("key", "value")
 
 
+def decisions_projection(spark, d):
+    return messages.encode_decisions(silver(spark, d))
+
+
 BRONZE_COLUMNS = [
     "payment_id", "idempotency_key", "customer_id", "merchant_id", "amount", "currency",
     "payment_method", "status", "retry_count", "is_retry_flag", "original_payment_id",
@@ -225,11 +229,18 @@ def gold_flagged_top10(spark, d):
     return flat(gold.flagged_top(gold.customer_daily(silver(spark, d))))
 
 
+def _stored_silver(spark, d, path):
+    """Decisions as a table partitioned by decision date, as the runs read it."""
+    dated = silver(spark, d).withColumn("decision_date", F.to_date("decision_at"))
+    tables.replace_partitions(dated, path, ["decision_date"])
+    return spark.read.parquet(path)
+
+
 def _two_runs(spark, d, pipeline, mode):
     """Run up to the first bound, then up to the newest; returns paths and log."""
     base = run_dir(spark, f"gold-{pipeline.name}-{mode}")
     table, log = f"{base}/gold", f"{base}/marks"
-    s = silver(spark, d)
+    s = _stored_silver(spark, d, f"{base}/silver")
     watermark.seed(tables.read_table(spark, log, schemas.WATERMARKS)).write.mode("append").parquet(log)
     incremental.run(pipeline, s, table, log, mode, until=_ts(SECOND_RUN))
     incremental.run(pipeline, s, table, log, mode)
@@ -413,6 +424,7 @@ QUERIES: dict[str, Query] = {
     "key_mismatch": key_mismatch,
     "latency_ms": latency_ms,
     "kafka_projection": kafka_projection,
+    "decisions_projection": decisions_projection,
     "bronze_parse": bronze_parse,
     "bronze_append": bronze_append,
     "deadletter": deadletter,

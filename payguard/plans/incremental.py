@@ -121,7 +121,7 @@ def run(
     if mode == "slice":
         tables.upsert_partitions(stamped, gold_path, pipeline.table_schema(), pipeline.keys, PART)
     else:
-        tables.replace_partitions(stamped, gold_path, [PART])
+        tables.replace_partitions(stamped, gold_path, [PART], rebalance=True)
     rows = touched_keys(pipeline, silver, mark, high).count()
     append_mark(spark, log_path, pipeline.name, high_us, rows)
     return RunResult(high_us, rows)

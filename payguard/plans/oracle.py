@@ -234,6 +234,13 @@ from shifted s join plain p using (payment_id) where p.idempotency_key <> s.idem
     "latency_ms": f"""{BASE} select payment_id,
   (epoch_us(decision_at) - epoch_us(event_timestamp)) // 1000 as latency_ms from payments""",
     "kafka_projection": f"{BASE} select customer_id as key, {_VALUE} as value from payments",
+    "decisions_projection": f"""{BASE} select customer_id as key, cast(to_json({{
+  payment_id: payment_id, idempotency_key: idempotency_key, idempotency_key_hash: idempotency_key,
+  customer_id: customer_id, merchant_id: merchant_id, amount: cast(amount as double), currency: currency,
+  payment_method: payment_method, dedup_status: dedup_status, rejection_reason: rejection_reason,
+  original_payment_id: original_payment_id, processing_latency_ms: processing_latency_ms,
+  event_timestamp: strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00',
+  decision_at: strftime(decision_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'}}) as varchar) as value from silver""",
     "bronze_parse": f"{BASE} select {_BRONZE_COLUMNS} from payments",
     "bronze_append": f"""{BASE}, {_FAULTY} select {_BRONZE_COLUMNS},
   strftime(ingested_at, '%Y-%m-%d') as ingested_date from faulty where reason is null""",

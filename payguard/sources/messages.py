@@ -37,7 +37,7 @@ def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", files_per_
     return reader.load(path)
 
 
-def encode(events: DataFrame, embed_payload: bool = True) -> DataFrame:
+def encode(events: DataFrame, embed_payload: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Events as keyed messages: ``key`` is the customer, ``value`` the JSON record.
 
     Times are written ISO-8601 with offset, amounts as JSON numbers, nulls kept.
@@ -52,13 +52,48 @@ def encode(events: DataFrame, embed_payload: bool = True) -> DataFrame:
     body = F.struct(*fields)
     if embed_payload:
         body = F.struct(*fields, F.struct(*fields).alias("raw_payload"))
+    carried = ("ingested_at", "kafka_partition", "kafka_offset", *keep)
     return events.select(
         F.col("customer_id").alias("key"),
         F.to_json(body, {"ignoreNullFields": "false"}).alias("value"),
-        *[c for c in ("ingested_at", "kafka_partition", "kafka_offset") if c in events.columns],
+        *[c for c in carried if c in events.columns],
     )
 
 
+def encode_decisions(silver: DataFrame) -> DataFrame:
+    """Decision records as messages keyed by customer, for the decisions topic."""
+    fields = [
+        F.col(f.name).cast("double").alias(f.name) if f.name == "amount"
+        else iso_micros(f.name).alias(f.name) if f.dataType.typeName() == "timestamp"
+        else F.col(f.name)
+        for f in silver.schema.fields
+    ]
+    return silver.select(
+        F.col("customer_id").alias("key"),
+        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
+    )
+
+
+def encode_dead_letters(refused: DataFrame) -> DataFrame:
+    """Refused messages for the dead-letter topic: the text as received, the reason beside it."""
+    return refused.select(
+        F.col("payment_id").alias("key"),
+        F.to_json(F.struct("invalid_reason", "raw_payload")).alias("value"),
+    )
+
+
+def publish(messages: DataFrame, servers: str, topic: str, checkpoint: str | None = None):
+    """Write keyed messages to a topic: a batch, or a stream when the frame is one.
+
+    Needs the Kafka connector on the class path.
+    """
+    keyed = messages.select("key", "value")
+    options = {"kafka.bootstrap.servers": servers, "topic": topic}
+    if not keyed.isStreaming:
+        return keyed.write.format("kafka").options(**options).save()
+    return keyed.writeStream.format("kafka").options(**options, checkpointLocation=checkpoint).start()
+
+
 def iso_micros(ts: str) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
 

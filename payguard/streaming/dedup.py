@@ -92,7 +92,7 @@ def start(
             earlier = None
             if tables.path_exists(spark, silver_path):
                 earlier = spark.read.parquet(silver_path).filter(F.col("batch_id") < batch_id)
-            new = tables.insert_if_absent(decided, earlier, order=dedup.arrival_columns(decided))
+            new = tables.insert_if_absent(decided, earlier, order=dedup.arrival_columns(decided), new_rows=rows)
             record = conform(dedup.silver_records(new), SILVER)
             dated = record.withColumn("decision_date", F.to_date("decision_at")).withColumn(
                 "batch_id", F.lit(batch_id)
