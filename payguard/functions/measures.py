@@ -46,16 +46,18 @@ def latency_profile(silver: DataFrame, keys: Sequence[Column | str], sla_ms: int
 
     The rows are first counted per (group, latency): a hash aggregate with
     map-side combine, so a group holding a third of all rows leaves each task
-    as a few counters. Only those counters, bounded by the number of distinct
-    latencies rather than rows, meet in the task that computes the group's
-    percentiles, with the counts as frequencies.
+    as a few counters. Only counters, bounded by the number of distinct latencies
+    rather than by rows, meet per group. There a running count finds the values
+    on either side of each percentile: a sort that can spill, no map in memory.
     """
-    lat = F.col("processing_latency_ms")
+    lat, n = F.col("processing_latency_ms"), F.col("n")
     named = [k if isinstance(k, Column) else F.col(k) for k in keys]
     per_value = silver.groupBy(*named, lat).agg(*status_counts())
     names = [c for c in per_value.columns if c not in ("processing_latency_ms", "n", "n_accepted", "n_rejected")]
-    n, p = F.col("n"), F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))
-    out = per_value.groupBy(*names).agg(
+    group = Window.partitionBy(*names)
+    upto = group.orderBy(lat).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = per_value.select("*", F.sum(n).over(upto).alias("_upto"), F.sum(n).over(group).alias("_all"))
+    out = ranked.groupBy(*names).agg(
         F.sum("n").alias("n"),
         F.sum("n_accepted").alias("n_accepted"),
         F.sum("n_rejected").alias("n_rejected"),
@@ -64,15 +66,25 @@ def latency_profile(silver: DataFrame, keys: Sequence[Column | str], sla_ms: int
         F.sum(lat.cast("bigint") * n).alias("sum_ms"),
         F.min(lat).alias("min_ms"),
         F.max(lat).alias("max_ms"),
-        F.percentile(lat, p, n).alias("_p"),
-    )
-    return out.select(
-        *names, "n", "n_accepted", "n_rejected", "n_within", "n_breached", "min_ms", "max_ms",
-        mean2(F.col("sum_ms"), F.col("n")).alias("avg_ms"),
-        F.round(F.col("_p")[0], 2).alias("p50_ms"),
-        F.round(F.col("_p")[1], 2).alias("p95_ms"),
-        F.round(F.col("_p")[2], 2).alias("p99_ms"),
+        *[_percentile(lat, percent).alias(f"p{percent}_ms") for percent in (50, 95, 99)],
     )
+    return out.withColumn("avg_ms", mean2(F.col("sum_ms"), n)).drop("sum_ms")
+
+
+def _percentile(value: Column, percent: int) -> Column:
+    """Interpolated percentile of integers, exact to its two decimals.
+
+    With N rows the position is (N - 1) * percent / 100; its whole part names the
+    lower neighbour and its hundredths the weight of the upper one, so integers
+    do all the work.
+    """
+    position = (F.col("_all") - 1) * percent
+    rest = position % 100
+    upto = F.col("_upto") * 100
+    below = F.min(F.when(upto > position - rest, value)).cast("bigint")
+    above = F.min(F.when(upto > position + (100 - rest) % 100, value)).cast("bigint")
+    weight = F.max(rest)
+    return F.round((below * 100 + (above - below) * weight).cast("decimal(20,0)") / 100, 2)
 
 
 def latency_histogram(silver: DataFrame, by: Sequence[str] = (), bins: int = S.HISTOGRAM_BINS) -> DataFrame:

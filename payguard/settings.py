@@ -10,6 +10,7 @@ DUPLICATE_REASON = "Duplicate idempotency key detected"
 REGISTRY_PREFIX = "idem:"
 TTL_SECONDS = 86_400
 KEY_BUCKET_SECONDS = 300
+TOPIC_RETENTION_SECONDS = 604_800
 SLA_MS = 50
 REVIEW_THRESHOLD = 3
 RATE_BAND_RED = 16

@@ -3,6 +3,16 @@
 The shorter path when keys are even, as hashed keys are: a batch touches only
 the state of its own keys. All rows of one key in one batch meet in one task,
 bounded by the size of a batch; with hot keys use ``streaming.dedup``.
+
+A row is compared with the acceptance it finds, expired or not, so clearing state
+decides nothing; it must only not come too early, and it needs a watermark, which
+drops rows behind it. Both are settled by the topic's retention R: a row still to
+come arrived at most R ago. The watermark clock is the arrival time, or now - R
+where that is later, with a delay of R. So the watermark is never later than
+now - R: no row is behind it, and an entry whose span ends before it meets no
+further row. Files replayed with arrivals older than R fall under the second
+branch of the clock: their entries stay for at least R of running time; for a
+replay that runs longer, use ``streaming.dedup`` or ``evict=False``.
 """
 
 from __future__ import annotations
@@ -29,42 +39,66 @@ class FirstSight(StatefulProcessor):
     Times are compared as epoch microseconds (``_us``), which no time zone touches.
     """
 
-    def __init__(self, columns: list[str], order: list[str], ttl: int) -> None:
-        self.columns, self.order, self.ttl_us = columns, order, ttl * 1_000_000
+    def __init__(self, columns: list[str], order: list[str], ttl: int, evict: bool) -> None:
+        self.columns, self.order, self.ttl_us, self.evict = columns, order, ttl * 1_000_000, evict
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("held", struct_of("payment_id string, accepted_us long"))
+        self.handle = handle
+        self.held = handle.getValueState(
+            "held", struct_of("payment_id string, accepted_us long, timer_ms long")
+        )
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        holder = tuple(self.held.get()) if self.held.exists() else None
-        before = holder
+        payment, since, timer = tuple(self.held.get()) if self.held.exists() else (None, None, 0)
+        before, clock_us = since, 0
         # Null sorts before any value, as it does in the batch order.
         position = lambda r: tuple((r[c] is not None, r[c]) for c in self.order)
         for r in sorted(rows, key=position):
-            if holder is None or r["_us"] >= holder[1] + self.ttl_us:
-                holder = (r["payment_id"], r["_us"])
+            if since is None or r["_us"] >= since + self.ttl_us:
+                payment, since, clock_us = r["payment_id"], r["_us"], r["_clock_us"]
                 found = (S.ACCEPTED, None, None)
             else:
-                found = (S.REJECTED_DUPLICATE, S.DUPLICATE_REASON, holder[0])
+                found = (S.REJECTED_DUPLICATE, S.DUPLICATE_REASON, payment)
             yield Row(**{c: r[c] for c in self.columns}, **dict(zip(FOUND.fieldNames(), found)))
-        if holder != before:
-            self.held.update(holder)
+        if since != before:
+            if self.evict:
+                timer = (clock_us + self.ttl_us) // 1000 + 1
+                self.handle.registerTimer(timer)
+            self.held.update((payment, since, timer))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # An older timer of a key that was taken anew meanwhile clears nothing.
+        if self.held.exists() and self.held.get()[2] == expiredTimerInfo.getExpiryTimeInMs():
+            self.held.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
-def decide_stream(stream: DataFrame, ttl: int = S.TTL_SECONDS) -> DataFrame:
+def decide_stream(
+    stream: DataFrame,
+    ttl: int = S.TTL_SECONDS,
+    evict: bool = True,
+    retention: int = S.TOPIC_RETENTION_SECONDS,
+) -> DataFrame:
     """The streaming counterpart of ``dedup.decide``: append output, one row per event."""
     rows = stream.drop("original_payment_id")
     schema = T.StructType([*rows.schema.fields, *FOUND.fields])
     order = ["_us" if c == "ingested_at" else c for c in arrival_columns(rows)]
-    timed = rows.withColumn("_us", F.unix_micros("ingested_at"))
+    oldest = F.current_timestamp() - F.make_dt_interval(secs=F.lit(retention))
+    timed = (
+        rows.withColumn("_us", F.unix_micros("ingested_at"))
+        .withColumn("_clock", F.greatest("ingested_at", oldest))
+        .withColumn("_clock_us", F.unix_micros("_clock"))
+    )
+    if evict:
+        timed = timed.withWatermark("_clock", f"{retention} seconds")
     return timed.groupBy("idempotency_key").transformWithState(
-        statefulProcessor=FirstSight(rows.columns, order, ttl),
+        statefulProcessor=FirstSight(rows.columns, order, ttl, evict),
         outputStructType=schema,
         outputMode="append",
-        timeMode="None",
+        timeMode="EventTime" if evict else "None",
     )
 
 
@@ -74,9 +108,11 @@ def start(
     checkpoint: str,
     ttl: int = S.TTL_SECONDS,
     interval: str | None = None,
+    evict: bool = True,
+    retention: int = S.TOPIC_RETENTION_SECONDS,
 ) -> StreamingQuery:
     """Start the job; the file sink and the state commit with one checkpoint."""
-    decided = decide_stream(stamp(stream), ttl)
+    decided = decide_stream(stamp(stream), ttl, evict, retention)
     record = conform(silver_records(decided), SILVER).withColumn("decision_date", F.to_date("decision_at"))
     w = (
         record.writeStream.format("parquet").partitionBy("decision_date")

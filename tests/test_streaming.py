@@ -71,6 +71,29 @@ def test_restart_neither_repeats_nor_loses(spark, kind):
     assert decisions(out) == decide_by_loop(rows)
 
 
+def test_eviction_clears_state_and_changes_no_decision(spark):
+    """Time to live one second, retention two: entries expire between the runs."""
+    import time
+    from datetime import datetime, timedelta, timezone
+
+    base = tempfile.mkdtemp()
+    rows, removed = [], 0
+    for i in range(4):
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        part = [(f"p{i}-{k}", f"k{k}" if k % 2 else f"k{k}-{i}", now + timedelta(milliseconds=k - 50))
+                for k in range(12)]
+        rows += part
+        write_parts(spark, part, f"{base}/in", 1)
+        q = stateful.start(read_stream(spark, f"{base}/in"), f"{base}/silver", f"{base}/offsets", ttl=1, retention=2)
+        q.awaitTermination()
+        removed += sum(s["numRowsRemoved"] for p in q.recentProgress for s in p["stateOperators"])
+        time.sleep(1)
+    out = spark.read.parquet(f"{base}/silver")
+    assert out.count() == len(rows)
+    assert decisions(out) == decide_by_loop(rows, ttl=1)
+    assert removed > 0
+
+
 def test_a_batch_that_fails_after_the_registry_write_is_repeated(spark, monkeypatch):
     rows = mixed_rows(23, 90)
     base = tempfile.mkdtemp()
