@@ -24,7 +24,7 @@ from pyspark.sql import Window
 
 from payguard import settings as S
 from payguard.functions.keys import registry_key
-from payguard.session import cut
+from payguard.session import cut, run_dir
 
 _PRIOR = "_is_event"  # 0 on a carried registry entry, 1 on an event: entries sort first
 
@@ -145,35 +145,39 @@ def _by_fold(rows: DataFrame, key: str, ttl: int) -> DataFrame:
     return _assign(flat.select(key, "_epochs", "_row._r.*"), arrival)
 
 
-def _hot_epochs(rows: DataFrame, key: str, ttl: int, hot_keys: int) -> tuple[DataFrame, int]:
-    """Acceptances of hot keys from partial aggregates, and how many slices there were.
+def _slice(at: Column, ttl: int) -> Column:
+    return F.floor(F.unix_micros(at) / F.lit(ttl * 1_000_000)).cast("bigint")
+
+
+def _hot_epochs(rows: DataFrame, key: str, ttl: int, hot_keys: int) -> tuple[DataFrame, list[int]]:
+    """Acceptances of hot keys from partial aggregates, and the slices there are.
 
     Two acceptances of a key are at least one time to live apart, so a slice of
-    that length holds at most one per key. Slices are visited in order, each
-    read once; what is carried is one row per hot key. Every round ends in a
-    reliable checkpoint, so neither plan nor recomputation grows.
+    that length holds at most one per key. Key and arrival of the hot rows are
+    written once, by slice, to the shared folder; slices are then visited in
+    order, each read once. What is carried is one row per hot key. Every round
+    ends in a reliable checkpoint, so neither plan nor recomputation grows.
     """
-    span = ttl * 1_000_000
-    rows = rows.withColumn("_a", _arrival(rows))
+    spark = rows.sparkSession
+    narrow = rows.select(key, _arrival(rows).alias("_a"), _slice(F.col("ingested_at"), ttl).alias("_slice"))
     state: DataFrame | None = None
     if _PRIOR in rows.columns:
         # Carried entries hold their keys before any event does.
-        entries = rows.filter(F.col(_PRIOR) == 0)
+        entries = narrow.filter(F.col("_a")[_PRIOR] == 0)
         state = cut(entries.groupBy(key).agg(F.array(F.min("_a")).alias("_epochs")))
-        rows = rows.filter(F.col(_PRIOR) == 1)
-    at = F.col("ingested_at")
-    slice_of = F.floor(F.unix_micros(at) / F.lit(span)).cast("bigint")
-    slices = sorted(r[0] for r in rows.select(slice_of.alias("s")).distinct().collect())
+        narrow = narrow.filter(F.col("_a")[_PRIOR] == 1)
+    path = run_dir(spark, "hot-keys")
+    narrow.hint("rebalance", "_slice").write.partitionBy("_slice").parquet(path)
+    stored = spark.read.schema(narrow.schema).parquet(path)
+    slices = sorted(r[0] for r in stored.select("_slice").distinct().collect())
     for s in slices:
-        # A plain range on the stored column, so that a scan skips the other slices.
-        low, high = (F.timestamp_micros(F.lit(x * span)) for x in (s, s + 1))
-        now = rows.filter((at >= low) & (at < high)).select(key, "_a")
+        now = stored.filter(F.col("_slice") == s).select(key, "_a")
         if state is None:
             state = now.groupBy(key).agg(F.array(F.min("_a")).alias("_epochs"))
         else:
             state = _advance(state, now, key, ttl, hot_keys)
         state = cut(state)
-    return state, len(slices) + 1
+    return state, slices
 
 
 def _advance(state: DataFrame, now: DataFrame, key: str, ttl: int, hot_keys: int) -> DataFrame:
@@ -191,9 +195,36 @@ def _advance(state: DataFrame, now: DataFrame, key: str, ttl: int, hot_keys: int
 
 
 def _by_slices(rows: DataFrame, key: str, ttl: int, hot_keys: int) -> DataFrame:
-    """Hot keys. Their number is bounded by rows / hot_rows and was counted."""
+    """Hot keys. Their number is bounded by rows / hot_rows and was counted.
+
+    A row meets two acceptances at most: the one of its own slice, and the last
+    one before. They are laid out per key and slice, so the join is a plain
+    equality and the choice a single comparison.
+    """
     epochs, slices = _hot_epochs(rows, key, ttl, hot_keys)
-    return _assign(rows.join(_small(epochs, hot_keys * slices), key), _arrival(rows))
+    arrival, own = _arrival(rows), F.col("_slice")
+    prior = (lambda e: e[_PRIOR] == 0) if _PRIOR in rows.columns else (lambda e: F.lit(False))
+
+    def earlier(e: Column) -> Column:
+        return prior(e) | (_slice(e["ingested_at"], ttl) < own)
+
+    laid_out = epochs.select(
+        key, "_epochs", F.explode(F.array(*map(F.lit, slices)).cast("array<bigint>")).alias("_slice")
+    ).select(
+        key, "_slice",
+        F.try_element_at(F.filter("_epochs", earlier), F.lit(-1)).alias("_before"),
+        F.try_element_at(
+            F.filter("_epochs", lambda e: ~prior(e) & (_slice(e["ingested_at"], ttl) == own)), F.lit(1)
+        ).alias("_within"),
+    )
+    met = rows.withColumn("_slice", _slice(F.col("ingested_at"), ttl)).join(
+        _small(laid_out, hot_keys * len(slices)), [key, "_slice"]
+    )
+    holder = F.when(arrival >= F.col("_within"), F.col("_within")).otherwise(F.col("_before"))
+    return met.withColumn("_epoch", holder).select(
+        *rows.columns, (F.col("_epoch") == arrival).alias("_taken"),
+        F.col("_epoch")["payment_id"].alias("_holder"),
+    )
 
 
 def decide(
