@@ -232,7 +232,7 @@ def gold_flagged_top10(spark, d):
 def _stored_silver(spark, d, path):
     """Decisions as a table partitioned by decision date, as the runs read it."""
     dated = silver(spark, d).withColumn("decision_date", F.to_date("decision_at"))
-    tables.replace_partitions(dated, path, ["decision_date"])
+    tables.replace_partitions(dated, path, ["decision_date"], rebalance=True)
     return spark.read.parquet(path)
 
 
@@ -413,7 +413,8 @@ def stream_dedup_stateful(spark, d):
     """The table read as a stream, decided with keyed state in the state store."""
     base = run_dir(spark, "stream-stateful")
     stream = derived.payments_from(_event_stream(spark, d))
-    q = stateful.start(stream, f"{base}/silver", f"{base}/offsets")
+    q = stateful.start(stream, f"{base}/silver", f"{base}/offsets",
+                       partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/silver").select("payment_id", "dedup_status", "original_payment_id")
 

@@ -27,6 +27,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from payguard import settings as S
 from payguard.operators.dedup import arrival_columns, silver_records
 from payguard.schemas import SILVER, conform, struct_of
+from payguard.session import ROCKSDB
 from payguard.streaming.dedup import stamp
 
 
@@ -110,12 +111,26 @@ def start(
     interval: str | None = None,
     evict: bool = True,
     retention: int = S.TOPIC_RETENTION_SECONDS,
+    partitions: int | None = None,
 ) -> StreamingQuery:
-    """Start the job; the file sink and the state commit with one checkpoint."""
+    """Start the job; the file sink and the state commit with one checkpoint.
+
+    ``partitions`` is the number of state partitions, by default that of shuffles;
+    it is fixed with the first start. The query copies the session settings when it
+    starts, so they are put back right after.
+    """
+    conf = stream.sparkSession.conf
+    shuffle = conf.get("spark.sql.shuffle.partitions")
+    # This kind of state needs the RocksDB store; it also keeps large state off the heap.
+    conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    conf.set("spark.sql.shuffle.partitions", str(partitions or shuffle))
     decided = decide_stream(stamp(stream), ttl, evict, retention)
     record = conform(silver_records(decided), SILVER).withColumn("decision_date", F.to_date("decision_at"))
     w = (
         record.writeStream.format("parquet").partitionBy("decision_date")
         .option("path", silver_path).option("checkpointLocation", checkpoint).outputMode("append")
     )
-    return (w.trigger(processingTime=interval) if interval else w.trigger(availableNow=True)).start()
+    try:
+        return (w.trigger(processingTime=interval) if interval else w.trigger(availableNow=True)).start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", shuffle)

@@ -5,7 +5,6 @@ import tempfile
 
 import pytest
 
-from payguard.operators import dedup
 from payguard.schemas import SILVER
 from payguard.sources import messages
 from payguard.streaming import bronze as bronze_stream
@@ -137,7 +136,3 @@ def test_bronze_stream_splits_good_and_bad(spark):
     # redelivered messages stay in Bronze, which is the audit trail
     assert sorted(r["payment_id"] for r in spark.read.parquet(f"{base}/bronze").collect()) == ["a", "a", "b"]
     assert [r["raw_payload"] for r in spark.read.parquet(f"{base}/dead").collect()] == ['{"broken']
-
-
-def test_batch_operator_is_the_one_used(spark):
-    assert dedup_stream.dedup is dedup
