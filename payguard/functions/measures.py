@@ -27,9 +27,15 @@ def mean2(total: Column, n: Column) -> Column:
 
 
 def latency_ms(event_timestamp: str = "event_timestamp", decision_at: str = "decision_at") -> Column:
-    """Whole milliseconds from event to decision, truncated toward zero."""
+    """Whole milliseconds from event to decision, truncated toward zero.
+
+    The column is an integer; a replayed event older than its range (24 days)
+    stays at the largest value instead of failing the job.
+    """
     micros = F.unix_micros(F.col(decision_at)) - F.unix_micros(F.col(event_timestamp))
-    return F.try_divide(micros, F.lit(1000)).cast("bigint").cast("int")
+    whole = (micros / 1000).cast("bigint")
+    largest = F.lit(2**31 - 1)
+    return F.greatest(F.least(whole, largest), -largest).cast("int")
 
 
 def status_counts() -> tuple[Column, Column, Column]:

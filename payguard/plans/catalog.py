@@ -242,8 +242,9 @@ def _two_runs(spark, d, pipeline, mode):
     table, log = f"{base}/gold", f"{base}/marks"
     s = _stored_silver(spark, d, f"{base}/silver")
     watermark.seed(tables.read_table(spark, log, schemas.WATERMARKS)).write.mode("append").parquet(log)
-    incremental.run(pipeline, s, table, log, mode, until=_ts(SECOND_RUN))
-    incremental.run(pipeline, s, table, log, mode)
+    more = {"bronze": bronze(spark, d)} if pipeline is incremental.SYSTEM else {}
+    incremental.run(pipeline, s, table, log, mode, until=_ts(SECOND_RUN), **more)
+    incremental.run(pipeline, s, table, log, mode, **more)
     return table, log
 
 
@@ -251,8 +252,7 @@ def _gold_after_two_runs(pipeline, mode):
     def query(spark, d):
         table, _ = _two_runs(spark, d, pipeline, mode)
         out = incremental.read_gold(spark, pipeline, table)
-        drop = ["aggregated_at", "avg_retry_interval_sec"]
-        return flat(out.drop(*drop))
+        return flat(out.drop("aggregated_at", "avg_retry_interval_sec"))
 
     return query
 
@@ -451,6 +451,7 @@ QUERIES: dict[str, Query] = {
     "gold_merchant_two_runs_full": _gold_after_two_runs(incremental.MERCHANT, "full_bucket"),
     "gold_sla_two_runs_full": _gold_after_two_runs(incremental.SLA, "full_bucket"),
     "gold_customer_two_runs_full": _gold_after_two_runs(incremental.CUSTOMER, "full_bucket"),
+    "gold_system_two_runs_full": _gold_after_two_runs(incremental.SYSTEM, "full_bucket"),
     "hwm_max": hwm_max,
     "hwm_slice": hwm_slice,
     "hwm_seed": hwm_seed,

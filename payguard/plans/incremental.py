@@ -39,7 +39,7 @@ class Pipeline:
     """One Gold table: how it is computed, keyed and bucketed."""
 
     name: str
-    compute: Callable[[DataFrame], DataFrame]
+    compute: Callable[..., DataFrame]
     keys: Sequence[str]
     bucket: str
     unit: str  # bucket length: "hour" or "day"
@@ -61,6 +61,10 @@ SLA = Pipeline(S.PIPELINE_SLA, gold.sla_hourly, ("hour_bucket",),
 CUSTOMER = Pipeline(S.PIPELINE_CUSTOMER, gold.customer_daily, ("customer_id", "day_bucket"),
                     "day_bucket", "day", schemas.GOLD_CUSTOMER)
 
+# Computed from Silver and, by day, from Bronze; ``run`` takes the latter as ``bronze``.
+SYSTEM = Pipeline(S.PIPELINE_SYSTEM, gold.system_daily, ("day_bucket",),
+                  "day_bucket", "day", schemas.GOLD_SYSTEM)
+
 
 def slice_input(silver: DataFrame, mark: Column, high: Column) -> DataFrame:
     return watermark.slice_of(silver, mark, high)
@@ -96,11 +100,13 @@ def run(
     log_path: str,
     mode: str = "full_bucket",
     until: Column | None = None,
+    bronze: DataFrame | None = None,
 ) -> RunResult | None:
     """One incremental run; None when there was nothing newer than the mark.
 
     Only two values reach the driver: the mark and the frozen upper bound.
-    ``until`` lowers the bound, to catch up in portions.
+    ``until`` lowers the bound, to catch up in portions. ``bronze`` is for the system
+    summary and is cut to the days of the run.
     """
     if mode not in ("full_bucket", "slice"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -115,8 +121,9 @@ def run(
         return None
     high = watermark.instant(high_us)
     source = slice_input(silver, mark, high) if mode == "slice" else bucket_input(silver, mark, high, pipeline.part_unit)
+    inputs = [source] if bronze is None else [_days_of(bronze, mark, high), source]
     stamped = schemas.conform(
-        pipeline.compute(source).withColumn("aggregated_at", F.current_timestamp()), pipeline.schema
+        pipeline.compute(*inputs).withColumn("aggregated_at", F.current_timestamp()), pipeline.schema
     ).withColumn(PART, pipeline.part())
     if mode == "slice":
         tables.upsert_partitions(stamped, gold_path, pipeline.table_schema(), pipeline.keys, PART)
@@ -127,6 +134,17 @@ def run(
     return RunResult(high_us, rows)
 
 
+def _days_of(bronze: DataFrame, mark: Column, high: Column) -> DataFrame:
+    """Bronze rows ingested on the days a run replaces, by the instant itself so
+    that the filter reaches the scan, and by the date partition where there is one."""
+    first = F.date_trunc("day", mark)
+    after = F.date_trunc("day", high) + F.expr("interval 1 day")
+    out = bronze.filter((F.col("ingested_at") >= first) & (F.col("ingested_at") < after))
+    if "ingested_date" in bronze.columns:
+        out = out.filter(F.col("ingested_date").between(F.to_date(mark), F.to_date(high)))
+    return out
+
+
 def append_mark(spark: SparkSession, log_path: str, name: str, mark_us: int, rows: int) -> None:
     watermark.entry(spark, name, mark_us, rows).write.mode("append").parquet(log_path)
 

@@ -225,6 +225,20 @@ select {lead}ranges.bin as bin, round(lo + ranges.bin * ((hi - lo) / 30.0), 6) a
 from ranges left join counted using ({using})"""
 
 
+_SYSTEM = f"""{BASE}, r as (
+  select strftime(ingested_at, '%Y-%m-%d') as day_bucket, count(*) as total_events_received from payments group by 1
+), g as (
+  select strftime(decision_at, '%Y-%m-%d') as day_bucket, count(distinct customer_id) as unique_customers,
+         count(distinct merchant_id) as unique_merchants, {_STATS} from silver group by 1
+) select day_bucket, coalesce(total_events_received, 0) as total_events_received,
+    coalesce(acc, 0) as total_accepted, coalesce(rej, 0) as total_rejected,
+    coalesce({_pct('rej', 'n')}, 0) as overall_duplicate_rate,
+    coalesce({_pct('within_sla', 'n')}, 0) as overall_sla_compliance,
+    avg_ms as avg_latency_ms, p99_ms as p99_latency_ms,
+    coalesce(unique_customers, 0) as unique_customers, coalesce(unique_merchants, 0) as unique_merchants
+from r full outer join g using (day_bucket)"""
+
+
 SQL: dict[str, str] = {
     "idempotency_key": f"{BASE} select payment_id, idempotency_key from payments",
     "five_minute_bucket": "select event_id, time_bucket(interval 5 minute, ts) as bucket from events",
@@ -275,18 +289,7 @@ group by all""",
   from chains where before is not null group by all
 ) select customer_id, day_bucket, retry_gaps,
          ((2 * us + retry_gaps * 10000) // (retry_gaps * 20000)) / 100.0 as avg_retry_interval_sec from gaps""",
-    "gold_system_summary": f"""{BASE}, r as (
-  select strftime(ingested_at, '%Y-%m-%d') as day_bucket, count(*) as total_events_received from payments group by 1
-), g as (
-  select strftime(decision_at, '%Y-%m-%d') as day_bucket, count(distinct customer_id) as unique_customers,
-         count(distinct merchant_id) as unique_merchants, {_STATS} from silver group by 1
-) select day_bucket, coalesce(total_events_received, 0) as total_events_received,
-    coalesce(acc, 0) as total_accepted, coalesce(rej, 0) as total_rejected,
-    coalesce({_pct('rej', 'n')}, 0) as overall_duplicate_rate,
-    coalesce({_pct('within_sla', 'n')}, 0) as overall_sla_compliance,
-    avg_ms as avg_latency_ms, p99_ms as p99_latency_ms,
-    coalesce(unique_customers, 0) as unique_customers, coalesce(unique_merchants, 0) as unique_merchants
-from r full outer join g using (day_bucket)""",
+    "gold_system_summary": _SYSTEM,
     "gold_flagged_top10": f"""{BASE} select customer_id, day_bucket, duplicate_attempts
 from ({_customer('silver')}) where flagged_for_review
 order by duplicate_attempts desc, customer_id, day_bucket limit 10""",
@@ -297,6 +300,7 @@ order by duplicate_attempts desc, customer_id, day_bucket limit 10""",
     "gold_merchant_two_runs_full": f"{BASE} {_merchant('silver')}",
     "gold_sla_two_runs_full": f"{BASE} {_sla('silver')}",
     "gold_customer_two_runs_full": f"{BASE} {_customer('silver')}",
+    "gold_system_two_runs_full": _SYSTEM,
     "hwm_max": f"{BASE} select max(decision_at) as max_decision_at from silver where decision_at > {MARK}",
     "hwm_slice": f"""{BASE} select payment_id, dedup_status, decision_at from silver
 where decision_at > {MARK} and decision_at <= {SECOND_RUN}""",

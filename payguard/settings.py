@@ -32,7 +32,8 @@ TOPIC_DEADLETTER = "payments.deadletter"
 # lacks are left out; payment_id makes the order total.
 ARRIVAL_ORDER = ("ingested_at", "kafka_partition", "kafka_offset", "payment_id")
 
-# A key with more rows than this is handled without ever gathering its rows.
-HOT_KEY_ROWS = 50_000
+# A key with more rows than this is handled without ever gathering its rows. Below
+# it a fold holds the rows of one key, and of up to 128 keys while it aggregates.
+HOT_KEY_ROWS = 10_000
 # A flagged-key table up to this many rows may be broadcast (about 100 bytes a row).
 BROADCAST_ROWS = 200_000

@@ -19,8 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from payguard import settings as S
 from payguard.functions.measures import latency_ms
-from payguard.operators import dedup, registry, tables
+from payguard.operators import dedup, registry, tables, validity
 from payguard.schemas import SILVER, conform, struct_of
+from payguard.sources import messages
 from payguard.streaming.bronze import writer
 
 REGISTRY_TABLE = struct_of(
@@ -43,6 +44,14 @@ def stamp(stream: DataFrame) -> DataFrame:
     return stream
 
 
+def valid_events(stream: DataFrame) -> DataFrame:
+    """Messages as typed events, those fit for a decision only.
+
+    The refused ones are in the dead letter of the Bronze job.
+    """
+    return messages.typed(validity.valid(validity.with_reasons(messages.decode(stream), "silver")))
+
+
 def carried_entries(batch: DataFrame, rows: int, registry_path: str, batch_id: int, ttl: int) -> DataFrame | None:
     """Live entries of earlier batches for the keys of this batch."""
     spark = batch.sparkSession
@@ -69,10 +78,14 @@ def start(
     ttl: int = S.TTL_SECONDS,
     hot_rows: int = S.HOT_KEY_ROWS,
     interval: str | None = None,
+    lookback_days: int | None = None,
 ) -> StreamingQuery:
-    """Start the job over valid events (see ``sources.messages`` and ``validity``).
+    """Start the job over valid events, such as ``valid_events`` gives.
 
-    Silver keeps the first decision of a payment_id over all batches.
+    Silver keeps the first decision of a payment_id. By default the whole history
+    is looked through, its payment_id column only. ``lookback_days`` prunes that to
+    recent decision dates: exact as long as no payment_id comes back later than
+    that, so it should exceed the retention of the topic.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -92,6 +105,10 @@ def start(
             earlier = None
             if tables.path_exists(spark, silver_path):
                 earlier = spark.read.parquet(silver_path).filter(F.col("batch_id") < batch_id)
+                if lookback_days is not None:
+                    first = batch.agg(F.unix_micros(F.min("decision_at"))).first()[0]
+                    since = F.date_sub(F.to_date(F.timestamp_micros(F.lit(first))), lookback_days)
+                    earlier = earlier.filter(F.col("decision_date") >= since)
             new = tables.insert_if_absent(decided, earlier, order=dedup.arrival_columns(decided), new_rows=rows)
             record = conform(dedup.silver_records(new), SILVER)
             dated = record.withColumn("decision_date", F.to_date("decision_at")).withColumn(

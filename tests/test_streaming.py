@@ -136,3 +136,29 @@ def test_bronze_stream_splits_good_and_bad(spark):
     # redelivered messages stay in Bronze, which is the audit trail
     assert sorted(r["payment_id"] for r in spark.read.parquet(f"{base}/bronze").collect()) == ["a", "a", "b"]
     assert [r["raw_payload"] for r in spark.read.parquet(f"{base}/dead").collect()] == ['{"broken']
+
+
+def test_messages_become_decisions(spark):
+    """Text in, decisions out; a refused message neither decides nor holds its key."""
+    base = tempfile.mkdtemp()
+    os.makedirs(f"{base}/in")
+    lines = [GOOD.replace('"customer_id":"c"', '"customer_id":null') % "bad", GOOD % "a", '{"broken', GOOD % "b"]
+    with open(f"{base}/in/1.txt", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    events = dedup_stream.valid_events(messages.file_stream(spark, f"{base}/in", "text"))
+    start("registry", events, base).awaitTermination()
+    assert decisions(spark.read.parquet(f"{base}/silver")) == {
+        "a": ("ACCEPTED", None), "b": ("REJECTED_DUPLICATE", "a"),
+    }
+
+
+def test_lookback_finds_recent_copies(spark):
+    base = tempfile.mkdtemp()
+    for part in ([("a", "k", at(0))], [("a", "k", at(40)), ("b", "k", at(41))]):
+        write_parts(spark, part, f"{base}/in", 1)
+        dedup_stream.start(
+            read_stream(spark, f"{base}/in"), f"{base}/silver", f"{base}/registry", f"{base}/offsets", lookback_days=3
+        ).awaitTermination()
+    assert decisions(spark.read.parquet(f"{base}/silver")) == {
+        "a": ("ACCEPTED", None), "b": ("REJECTED_DUPLICATE", "a"),
+    }

@@ -237,3 +237,8 @@ def test_explicit_null_takes_the_default(spark):
 def test_latency_truncates(spark):
     df = spark.createDataFrame([(at(), at(microseconds=1_999))], "event_timestamp timestamp, decision_at timestamp")
     assert df.select(measures.latency_ms()).first()[0] == 1
+
+
+def test_latency_of_a_replayed_event_stays_in_range(spark):
+    df = spark.createDataFrame([(at(), at(24 * 60))], "event_timestamp timestamp, decision_at timestamp")
+    assert df.select(measures.latency_ms()).first()[0] == 2**31 - 1
