@@ -96,7 +96,7 @@ def _by_window(rows: DataFrame, key: str) -> DataFrame:
         "*",
         # rank, not row_number: copies with one arrival position are one event
         (F.rank().over(w) == 1).alias("_taken"),
-        F.first("payment_id").over(w).alias("_holder"),
+        F.first("payment_id").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_holder"),
     )
 
 
