@@ -9,8 +9,18 @@ from payguard import settings as S
 from payguard.schemas import MESSAGE
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str = S.TOPIC_RAW, max_per_trigger: int | None = None) -> DataFrame:
-    """The topic from its earliest offset. Needs the Kafka connector on the class path."""
+def kafka_stream(
+    spark: SparkSession,
+    servers: str,
+    topic: str = S.TOPIC_RAW,
+    max_per_trigger: int | None = None,
+    min_partitions: int | None = None,
+) -> DataFrame:
+    """The topic from its earliest offset. Needs the Kafka connector on the class path.
+
+    ``max_per_trigger`` bounds a batch; ``min_partitions`` splits a topic of few
+    partitions over more tasks, as parsing is the costly part.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -19,6 +29,8 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str = S.TOPIC_RAW, ma
     )
     if max_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
+    if min_partitions:
+        reader = reader.option("minPartitions", min_partitions)
     return reader.load().select(
         F.col("value").cast("string").alias("value"),
         F.col("timestamp").alias("ingested_at"),

@@ -13,6 +13,8 @@ batch reads without any eviction.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -79,13 +81,15 @@ def start(
     hot_rows: int = S.HOT_KEY_ROWS,
     interval: str | None = None,
     lookback_days: int | None = None,
+    report: Callable[[int, dict], None] | None = None,
 ) -> StreamingQuery:
     """Start the job over valid events, such as ``valid_events`` gives.
 
     Silver keeps the first decision of a payment_id. By default the whole history
     is looked through, its payment_id column only. ``lookback_days`` prunes that to
     recent decision dates: exact as long as no payment_id comes back later than
-    that, so it should exceed the retention of the topic.
+    that, so it should exceed the retention of the topic. ``report`` receives the
+    counters of each finished batch (``registry.decision_counts``).
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -115,6 +119,8 @@ def start(
                 "batch_id", F.lit(batch_id)
             )
             tables.replace_partitions(dated, silver_path, ["decision_date", "batch_id"])
+            if report is not None:
+                report(batch_id, registry.decision_counts(decided).first().asDict())
         finally:
             decided.unpersist()
             batch.unpersist()

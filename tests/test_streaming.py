@@ -146,7 +146,11 @@ def test_messages_become_decisions(spark):
     with open(f"{base}/in/1.txt", "w") as f:
         f.write("\n".join(lines) + "\n")
     events = dedup_stream.valid_events(messages.file_stream(spark, f"{base}/in", "text"))
-    start("registry", events, base).awaitTermination()
+    counts = {}
+    dedup_stream.start(
+        events, f"{base}/silver", f"{base}/registry", f"{base}/offsets", report=counts.__setitem__
+    ).awaitTermination()
+    assert counts == {0: {"total_processed": 2, "total_accepted": 1, "total_rejected": 1, "total_errors": 0}}
     assert decisions(spark.read.parquet(f"{base}/silver")) == {
         "a": ("ACCEPTED", None), "b": ("REJECTED_DUPLICATE", "a"),
     }
