@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -134,3 +134,13 @@ def start(
         return (w.trigger(processingTime=interval) if interval else w.trigger(availableNow=True)).start()
     finally:
         conf.set("spark.sql.shuffle.partitions", shuffle)
+
+
+def held_keys(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Registry entries in the state of a job, as of its last finished batch."""
+    state = spark.read.format("statestore").option("stateVarName", "held").load(checkpoint)
+    return state.select(
+        F.col("key.idempotency_key").alias("idempotency_key"),
+        F.col("value.payment_id").alias("payment_id"),
+        F.timestamp_micros("value.accepted_us").alias("accepted_at"),
+    )

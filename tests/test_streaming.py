@@ -70,6 +70,16 @@ def test_restart_neither_repeats_nor_loses(spark, kind):
     assert decisions(out) == decide_by_loop(rows)
 
 
+def test_state_is_the_registry(spark):
+    base = tempfile.mkdtemp()
+    write_parts(spark, [("a", "k", at(0)), ("b", "k", at(30)), ("c", "j", at(31))], f"{base}/in", 1)
+    stateful.start(read_stream(spark, f"{base}/in"), f"{base}/silver", f"{base}/offsets").awaitTermination()
+    held = stateful.held_keys(spark, f"{base}/offsets")
+    assert {(r["idempotency_key"], r["payment_id"], r["accepted_at"]) for r in held.collect()} == {
+        ("k", "b", at(30)), ("j", "c", at(31)),
+    }
+
+
 def test_eviction_clears_state_and_changes_no_decision(spark):
     """Time to live one second, retention two: entries expire between the runs."""
     import time
