@@ -16,6 +16,8 @@ def struct_of(columns: str) -> T.StructType:
     return out
 
 
+# Table and message columns, in order, with their types.
+
 # The message as text: every field is read as a string and cast afterwards, so
 # that one bad field is named in the dead letter instead of blanking the record.
 MESSAGE = struct_of(
@@ -45,17 +47,19 @@ SILVER = struct_of(
 # One row per acceptance: the key, the payment that took it and when.
 REGISTRY = struct_of("idempotency_key string, payment_id string, accepted_at timestamp")
 
+# Latency columns hold any integer of milliseconds: a replay of old events, decided
+# now, has latencies of days, and a narrower decimal would stop the run.
 GOLD_MERCHANT = struct_of(
     "merchant_id string, hour_bucket timestamp, total_payments integer, accepted_payments integer,"
-    " rejected_duplicates integer, duplicate_rate_pct decimal(5,2), avg_latency_ms decimal(8,2),"
-    " p95_latency_ms decimal(8,2), p99_latency_ms decimal(8,2), aggregated_at timestamp"
+    " rejected_duplicates integer, duplicate_rate_pct decimal(5,2), avg_latency_ms decimal(12,2),"
+    " p95_latency_ms decimal(12,2), p99_latency_ms decimal(12,2), aggregated_at timestamp"
 )
 
 GOLD_SLA = struct_of(
     "hour_bucket timestamp, total_decisions integer, within_sla_count integer,"
-    " breached_sla_count integer, sla_compliance_pct decimal(5,2), avg_latency_ms decimal(8,2),"
-    " max_latency_ms integer, p50_latency_ms decimal(8,2), p95_latency_ms decimal(8,2),"
-    " p99_latency_ms decimal(8,2), aggregated_at timestamp"
+    " breached_sla_count integer, sla_compliance_pct decimal(5,2), avg_latency_ms decimal(12,2),"
+    " max_latency_ms integer, p50_latency_ms decimal(12,2), p95_latency_ms decimal(12,2),"
+    " p99_latency_ms decimal(12,2), aggregated_at timestamp"
 )
 
 GOLD_CUSTOMER = struct_of(
@@ -68,7 +72,7 @@ GOLD_CUSTOMER = struct_of(
 GOLD_SYSTEM = struct_of(
     "day_bucket date, total_events_received integer, total_accepted integer, total_rejected integer,"
     " overall_duplicate_rate decimal(5,2), overall_sla_compliance decimal(5,2),"
-    " avg_latency_ms decimal(8,2), p99_latency_ms decimal(8,2), unique_customers integer,"
+    " avg_latency_ms decimal(12,2), p99_latency_ms decimal(12,2), unique_customers integer,"
     " unique_merchants integer, aggregated_at timestamp"
 )
 

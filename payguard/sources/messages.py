@@ -39,7 +39,13 @@ def kafka_stream(
     )
 
 
-def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", files_per_trigger: int | None = None, schema=None) -> DataFrame:
+def file_stream(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    files_per_trigger: int | None = None,
+    schema=None,
+) -> DataFrame:
     """A folder of message files as a stream; ``text`` gives one message per line."""
     reader = spark.readStream.format(fmt)
     if schema is not None:

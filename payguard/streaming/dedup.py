@@ -103,8 +103,10 @@ def start(
         decided = dedup.decide(batch, ttl, hot_rows=hot_rows, carried=carried).persist()
         try:
             taken = registry.acceptances(decided).withColumn("accepted_date", F.to_date("accepted_at"))
+            # Narrow rows that every later batch reads: few files matter more than a shuffle.
             tables.replace_partitions(
-                taken.withColumn("batch_id", F.lit(batch_id)), registry_path, ["accepted_date", "batch_id"]
+                taken.withColumn("batch_id", F.lit(batch_id)), registry_path,
+                ["accepted_date", "batch_id"], rebalance=True,
             )
             earlier = None
             if tables.path_exists(spark, silver_path):

@@ -18,7 +18,7 @@ def events(spark, rows):
 
 
 def decide_by_loop(rows, ttl=86_400, held=None):
-    """Reference answer: {payment_id: (status, original)} in arrival order."""
+    """Expected answer: {payment_id: (status, original)} in arrival order."""
     held = dict(held or {})
     out = {}
     for p, k, t in sorted(rows, key=lambda r: (r[2], r[0])):
