@@ -88,10 +88,16 @@ def profile_keys(events: DataFrame, key: str, ttl: int, hot_rows: int) -> KeyPro
     return KeyProfile(flagged, long_keys, hot_keys)
 
 
-def _by_window(rows: DataFrame, key: str) -> DataFrame:
+def _tagged(rows: DataFrame, key: str, flagged: DataFrame, n: int) -> DataFrame:
+    """Rows with the hash of their key, ``_tag`` true where it is among ``flagged``."""
+    marks = flagged.select("_h", F.lit(True).alias("_tag"))
+    return rows.withColumn("_h", F.xxhash64(key)).join(_small(marks, n), "_h", "left")
+
+
+def _by_window(rows: DataFrame, by: list[str]) -> DataFrame:
     """Keys within one time to live: the first arrival is accepted, the rest name it."""
     cols = [_PRIOR, *arrival_columns(rows)] if _PRIOR in rows.columns else arrival_columns(rows)
-    w = Window.partitionBy(key).orderBy(*cols)
+    w = Window.partitionBy(*by).orderBy(*cols)
     return rows.select(
         "*",
         # rank, not row_number: copies with one arrival position are one event
@@ -127,22 +133,22 @@ def _assign(rows: DataFrame, arrival: Column) -> DataFrame:
     )
 
 
-def _by_fold(rows: DataFrame, key: str, ttl: int) -> DataFrame:
+def _by_fold(rows: DataFrame, by: list[str], ttl: int) -> DataFrame:
     """Keys that outlive the time to live, each with a bounded number of rows.
 
     One shuffle: the rows of a key travel once, are sorted, folded and unpacked
     in place, with no join back.
     """
-    rest = [c for c in rows.columns if c != key]
+    rest = [c for c in rows.columns if c not in by]
     arrival = _arrival(rows)
-    packed = rows.groupBy(key).agg(
+    packed = rows.groupBy(*by).agg(
         F.sort_array(F.collect_list(F.struct(arrival.alias("_a"), F.struct(*rest).alias("_r")))).alias("_rows")
     )
     folded = packed.select(
-        key, "_rows", _greedy(F.transform("_rows", lambda r: r["_a"]), ttl).alias("_epochs")
+        *by, "_rows", _greedy(F.transform("_rows", lambda r: r["_a"]), ttl).alias("_epochs")
     )
-    flat = folded.select(key, "_epochs", F.explode("_rows").alias("_row"))
-    return _assign(flat.select(key, "_epochs", "_row._r.*"), arrival)
+    flat = folded.select(*by, "_epochs", F.explode("_rows").alias("_row"))
+    return _assign(flat.select(*by, "_epochs", "_row._r.*"), arrival)
 
 
 def _slice(at: Column, ttl: int) -> Column:
@@ -237,6 +243,7 @@ def decide(
 ) -> DataFrame:
     """Add ``dedup_status``, ``rejection_reason``, ``original_payment_id``, ``registry_key``.
 
+    Every row needs a key, an arrival and a payment_id, as ``validity`` ensures.
     ``carried`` holds registry entries (key, payment_id, accepted_at) from earlier
     batches, at most one per key: they take their keys before any event does.
     The ground-truth ``original_payment_id`` of the message, if present, is
@@ -251,29 +258,20 @@ def decide(
             allowMissingColumns=True,
         )
     profile = profile or profile_keys(rows, key, ttl, hot_rows)
-    if profile.flagged is None:
-        ways = [_by_window(rows, key)]
+    ways = []
+    if profile.hot_keys:
+        hot = _tagged(rows, key, profile.flagged.filter("_hot"), profile.hot_keys)
+        ways.append(_by_slices(hot.filter("_tag").drop("_h", "_tag"), key, ttl, profile.hot_keys))
+        rows = hot.filter("_tag is null").drop("_h", "_tag")
+    if profile.long_keys:
+        # Grouping by hash and key lets the shuffle of a tagging join, where the
+        # long keys are too many to broadcast, serve the window and the fold too.
+        long = _tagged(rows, key, profile.flagged.filter("_long and not _hot"), profile.long_keys)
+        by = ["_h", key]
+        ways.append(_by_window(long.filter("_tag is null").drop("_tag"), by).drop("_h"))
+        ways.append(_by_fold(long.filter("_tag").drop("_tag"), by, ttl).drop("_h"))
     else:
-        # With very many long keys the split by key would cost a shuffle of its
-        # own; the fold is right for short keys too, so it takes every cold row.
-        split_long = profile.long_keys <= S.BROADCAST_ROWS
-        flags, n = profile.flagged, profile.long_keys + profile.hot_keys
-        if not split_long:
-            flags, n = flags.filter("_hot"), profile.hot_keys
-        tagged = rows.withColumn("_h", F.xxhash64(key)).join(_small(flags, n), "_h", "left").drop("_h")
-        hot, long = F.coalesce("_hot", F.lit(False)), F.coalesce("_long", F.lit(False))
-
-        def part(which: Column) -> DataFrame:
-            return tagged.filter(which).drop("_hot", "_long")
-
-        if not split_long:
-            ways = [_by_fold(part(~hot), key, ttl)]
-        else:
-            ways = [_by_window(part(~hot & ~long), key)]
-            if profile.long_keys:
-                ways.append(_by_fold(part(~hot & long), key, ttl))
-        if profile.hot_keys:
-            ways.append(_by_slices(part(hot), key, ttl, profile.hot_keys))
+        ways.append(_by_window(rows, [key]))
     out = ways[0]
     for w in ways[1:]:
         out = out.unionByName(w)

@@ -111,7 +111,7 @@ def test_carried_entries_hold_their_keys(spark, hot_rows):
     assert got == decide_by_loop(rows, held=held)
 
 
-def test_many_long_keys_are_folded_without_a_split(spark, monkeypatch):
+def test_more_long_keys_than_may_be_broadcast(spark, monkeypatch):
     monkeypatch.setattr(settings, "BROADCAST_ROWS", 3)
     rows = mixed_rows(3)
     got = decisions(dedup.decide(events(spark, rows), hot_rows=100))
