@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from payguard.llm.common import documents, n_words, stored
@@ -51,6 +51,31 @@ def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, most: int = MO
     return rows
 
 
+def _hash(id_col: str) -> Column:
+    digits = F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("null"))), 1, 15)
+    return F.conv(digits, 16, 10).cast("long")
+
+
+def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+         weights=WEIGHTS, most: int = MOST) -> DataFrame:
+    """The mix, a row a source: ``s, source_size, target, passes, below`` (the hash threshold)."""
+    spark = docs.sparkSession
+    rows = stored(docs.select(F.col(source_col).cast("string").alias("source"), n_words(text_col).alias("size"), _hash(id_col).alias("h")), "mix")
+    totals = [(r["source"], r["size"]) for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()]
+    recipe = targets(totals, weights, most)
+    wanted = [(r["source"], 0, r["rest"]) for r in recipe]
+    for level in range(LEVELS):
+        wanted = _narrow(rows, wanted, level)
+    out = [(r["source"], r["size"], r["target"], r["passes"], below) for r, (_, below, _) in zip(recipe, wanted, strict=True)]
+    return spark.createDataFrame(out, "s string, source_size long, target double, passes int, below long")
+
+
+def with_copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", source_col: str = "source", most: int = MOST) -> DataFrame:
+    """The rows with the columns of their source's ``plan`` and ``copies``; nothing is shuffled."""
+    rows = docs.join(F.broadcast(mixed), F.col(source_col).cast("string").eqNullSafe(F.col("s")))
+    return rows.withColumn("copies", F.least(F.lit(most), F.col("passes") + (_hash(id_col) < F.col("below")).cast("int")))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """How often each document goes into the mix.
@@ -61,25 +86,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     like the text "null". The threshold falls on the document border nearest the target. An
     empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    hashed = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("null"))), 1, 15), 16, 10)
-    rows = stored(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        n_words(text_col).alias("size"), hashed.cast("long").alias("h")), "mix")
-    totals = [(r["source"], r["size"]) for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()]
-    recipe = targets(totals, weights, most)
-    schema = "source string, source_size long, target double, passes int, rest double"
-    plan = spark.createDataFrame([(r["source"], r["size"], r["target"], r["passes"], r["rest"]) for r in recipe], schema)
-    wanted = [(r["source"], 0, r["rest"]) for r in recipe]
-    for level in range(LEVELS):
-        wanted = _narrow(rows, wanted, level)
-    cut = spark.createDataFrame([(s, b) for s, b, _ in wanted], "source string, below long")
-    plan = plan.withColumnRenamed("source", "s").join(
-        cut.withColumnRenamed("source", "c"), F.col("s").eqNullSafe(F.col("c"))).drop("c")
-    out = rows.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("s")))
-    copies = F.least(F.lit(most), F.col("passes") + (F.col("h") < F.col("below")).cast("int"))
-    return out.select("doc_id", "size", "source", "source_size", "target", copies.alias("copies"),
-                      (copies * F.col("size")).cast("long").alias("taken"))
+    mixed = plan(docs, id_col, text_col, source_col, weights, most)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"))
+    out = with_copies(rows, mixed, most=most)
+    return out.select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 def _narrow(rows: DataFrame, wanted: list, level: int) -> list:

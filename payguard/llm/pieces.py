@@ -22,6 +22,7 @@ import re
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
@@ -283,7 +284,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     rows give equal results; other columns are ignored; an empty table gives an empty result.
     """
     return _per_row(docs, model_path, id_col, text_col, "doc_id long, ids array<int>, decoded string", lambda ids, text: {
-        "ids": [array.array("I", x) for x in ids], "decoded": text})
+        "ids": [np.frombuffer(x, "<i4") for x in ids], "decoded": text})
 
 
 def digest_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
