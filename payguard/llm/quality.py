@@ -1,7 +1,7 @@
 """Quality by weak supervision: rules vote or abstain, and what they agree on is learned.
 
 Each rule says good (1), bad (-1) or nothing (0) about a document. Expectation maximisation
-estimates how often each rule is right without any label, and the posterior probability that a
+estimates how often each rule is right, on good and on bad documents, without any label, and the posterior probability that a
 document is good replaces the demand that it pass every rule. Votes are column expressions;
 the corpus enters the estimate as counts by vote pattern, of which there are at most 3 to the
 number of rules (6,561), whatever its size. Everything is DataFrame expressions on the
@@ -20,9 +20,11 @@ from payguard.llm.common import documents, stored, text_of, words
 WINDOW = 8
 # Fixed values of the base check.
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
-# The estimate: rounds at most, smoothing counts, limits of an accuracy. A rule is taken to be
-# right more often than wrong, which ties the two classes to their names.
-ROUNDS, SMOOTH, LEAST, MOST = 50, 1.0, 0.55, 0.98
+# The estimate: rounds at most, smoothing counts, limits of an accuracy, and where it starts.
+# It starts from rules that seldom object to a good document and often miss a bad one, which
+# ties the two classes to their names.
+ROUNDS, SMOOTH, LEAST, MOST = 50, 1.0, 0.01, 0.999
+START_SHARE, START = 0.7, (0.95, 0.5)
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,8 +69,8 @@ def rules() -> dict[str, Column]:
     return {
         "length": vote(F.col("n_words") >= 50, F.col("n_words") < MIN_WORDS),
         "word_length": vote((mean >= 3) & (mean <= 10), (mean < 2) | (mean > 15)),
-        "symbols": vote(symbols <= 0.01, symbols > 0.1),
-        "letters": vote(letters >= 0.85, letters < 0.6),
+        "symbols": vote(symbols <= 0.01, symbols > 0.05),
+        "letters": vote(letters >= 0.9, letters < 0.8),
         "lines": vote(dup <= 0.05, dup > 0.3),
         "repeats": vote(repeat <= 0.05, repeat > 0.2),
         "sentences": vote((ends >= 0.02) & (ends <= 0.3), (F.col("n_words") >= 50) & (ends < 0.002)),
@@ -76,34 +78,44 @@ def rules() -> dict[str, Column]:
     }
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> tuple[float, list[float]]:
-    """Share of good documents and accuracy of each rule, from counts by vote pattern.
+def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> tuple[float, list[tuple[float, float]]]:
+    """Share of good documents, and each rule's accuracies, from counts by vote pattern.
 
-    Starts from accuracies of 0.8; stops when nothing moves by a millionth. Without documents
-    the start values come back.
+    A rule has two accuracies: how often it votes good on good documents and bad on bad ones,
+    among those it votes on. A rule no better than chance gets no weight. Stops when nothing
+    moves by a millionth. Without documents the start values come back.
     """
     n_rules = len(patterns[0][0]) if patterns else 0
-    good, right = 0.5, [0.8] * n_rules
+    share, right = START_SHARE, [START] * n_rules
     for _ in range(rounds if patterns else 0):
-        weight = [math.log(a / (1 - a)) for a in right]
-        base = math.log(good / (1 - good))
+        weight = [weights(*a) for a in right]
+        base = math.log(share / (1 - share))
         all_n = good_n = 0.0
-        hits, cast = [0.0] * n_rules, [0.0] * n_rules
+        hits, cast = [[0.0, 0.0] for _ in right], [[0.0, 0.0] for _ in right]
         for votes, n in patterns:
-            p = 1 / (1 + math.exp(-base - sum(w * v for w, v in zip(weight, votes, strict=True))))
+            logit = base + sum(w[v < 0] for w, v in zip(weight, votes, strict=True) if v)
+            p = 1 / (1 + math.exp(-max(-700.0, min(700.0, logit))))
             all_n += n
             good_n += n * p
             for j, v in enumerate(votes):
                 if v:
-                    cast[j] += n
-                    hits[j] += n * (p if v > 0 else 1 - p)
-        new = [min(MOST, max(LEAST, (h + 0.8 * SMOOTH) / (c + SMOOTH))) for h, c in zip(hits, cast, strict=True)]
-        share = min(0.99, max(0.01, (good_n + SMOOTH) / (all_n + 2 * SMOOTH)))
-        moved = max(abs(share - good), *(abs(a - b) for a, b in zip(new, right, strict=True)))
-        good, right = share, new
+                    cast[j][0] += n * p
+                    cast[j][1] += n * (1 - p)
+                    hits[j][v < 0] += n * (p if v > 0 else 1 - p)
+        new = [tuple(min(MOST, max(LEAST, (h + s * SMOOTH) / (c + SMOOTH))) for h, c, s in zip(*x, START, strict=True)) for x in zip(hits, cast, strict=True)]
+        part = min(0.99, max(0.01, (good_n + SMOOTH) / (all_n + 2 * SMOOTH)))
+        moved = max(abs(part - share), *(abs(x - y) for a, b in zip(new, right, strict=True) for x, y in zip(a, b, strict=True)))
+        share, right = part, new
         if moved < 1e-6:
             break
-    return good, right
+    return share, right
+
+
+def weights(on_good: float, on_bad: float) -> tuple[float, float]:
+    """What a good vote and a bad vote add to the log odds of being good."""
+    if on_good + on_bad <= 1:
+        return 0.0, 0.0
+    return math.log(on_good / (1 - on_bad)), math.log((1 - on_good) / on_bad)
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
@@ -121,8 +133,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     counts = voted.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3^8 rows
     good, right = estimate([(tuple(r[c] for c in columns), r["n"]) for r in counts])
     logit = F.lit(math.log(good / (1 - good)))
-    for c, a in zip(columns, right or [0.8] * len(columns), strict=True):
-        logit = logit + F.col(c) * F.lit(math.log(a / (1 - a)))
+    for c, accuracy in zip(columns, right or [START] * len(columns), strict=True):
+        up, down = weights(*accuracy)
+        logit = logit + F.when(F.col(c) > 0, up).when(F.col(c) < 0, down).otherwise(0.0)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     posterior = 1 / (1 + F.exp(-logit))
     out = voted.withColumn("posterior", posterior).withColumn("base_failed", failed)

@@ -325,14 +325,17 @@ def test_quality_measures(docs, rows):
 def test_estimated_accuracies():
     import random
 
-    rng, right = random.Random(2), [0.95, 0.9, 0.8, 0.7, 0.6]
+    rng = random.Random(2)
+    right = [(0.99, 0.6), (0.95, 0.7), (0.9, 0.9), (0.97, 0.4), (0.8, 0.3), (0.9, 0.1)]
     patterns = Counter()
-    for _ in range(20_000):
-        truth = 1 if rng.random() < 0.7 else -1
-        patterns[tuple(0 if rng.random() < 0.2 else truth * (1 if rng.random() < a else -1) for a in right)] += 1
-    good, found = quality.estimate(list(patterns.items()))
-    assert good == pytest.approx(0.7, abs=0.03)
-    assert found == pytest.approx(right, abs=0.04)
+    for _ in range(30_000):
+        bad = rng.random() >= 0.7
+        votes = [0 if rng.random() < 0.2 else (1 if (rng.random() < a[bad]) != bad else -1) for a in right]
+        patterns[tuple(votes)] += 1
+    share, found = quality.estimate(list(patterns.items()))
+    assert share == pytest.approx(0.7, abs=0.03)
+    assert [x for a in found for x in a] == pytest.approx([x for a in right for x in a], abs=0.06)
+    assert quality.weights(0.4, 0.5) == (0.0, 0.0)
 
 
 # 10 ----------------------------------------------------------------------------------------
