@@ -22,9 +22,21 @@ def five_minute_bucket(ts: Column | str, seconds: int = S.KEY_BUCKET_SECONDS) ->
     return F.timestamp_seconds(epoch - F.pmod(epoch, F.lit(seconds)))
 
 
-def iso_utc(ts: Column | str) -> Column:
-    """ISO-8601 to the second with a numeric offset (``+00:00``, never ``Z``)."""
-    return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ssxxx")
+def iso_utc(ts: Column | str, micros: bool = False) -> Column:
+    """ISO-8601 in UTC with a numeric offset (``+00:00``, never ``Z``).
+
+    Worked out from epoch numbers, so the session's time zone has no say in it.
+    """
+    instant = _c(ts).cast("timestamp")
+    epoch = F.unix_seconds(instant)
+    second = F.pmod(epoch, F.lit(86_400))
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    day = F.date_from_unix_date(((epoch - second) / 86_400).cast("int")).cast("string")
+    hour, minute = F.floor(second / 3_600), F.pmod(F.floor(second / 60), F.lit(60))
+    parts = [day, F.lit("T"), two(hour), F.lit(":"), two(minute), F.lit(":"), two(F.pmod(second, F.lit(60)))]
+    if micros:
+        parts += [F.lit("."), F.lpad(F.pmod(F.unix_micros(instant), F.lit(1_000_000)).cast("string"), 6, "0")]
+    return F.concat(*parts, F.lit("+00:00"))
 
 
 def amount_text(amount: Column | str) -> Column:

@@ -27,15 +27,10 @@ def mean2(total: Column, n: Column) -> Column:
 
 
 def latency_ms(event_timestamp: str = "event_timestamp", decision_at: str = "decision_at") -> Column:
-    """Whole milliseconds from event to decision, truncated toward zero.
-
-    The column is an integer; a replayed event older than its range (24 days)
-    stays at the largest value instead of failing the job.
-    """
+    """Whole milliseconds from event to decision, truncated toward zero, as a bigint:
+    a replayed event has a latency of days or years."""
     micros = F.unix_micros(F.col(decision_at)) - F.unix_micros(F.col(event_timestamp))
-    whole = (micros / 1000).cast("bigint")
-    largest = F.lit(2**31 - 1)
-    return F.greatest(F.least(whole, largest), -largest).cast("int")
+    return ((micros - micros % 1000) / 1000).cast("bigint")
 
 
 def status_counts() -> tuple[Column, Column, Column]:
@@ -60,21 +55,47 @@ def latency_profile(silver: DataFrame, keys: Sequence[Column | str], sla_ms: int
     named = [k if isinstance(k, Column) else F.col(k) for k in keys]
     per_value = silver.groupBy(*named, lat).agg(*status_counts())
     names = [c for c in per_value.columns if c not in ("processing_latency_ms", "n", "n_accepted", "n_rejected")]
-    group = Window.partitionBy(*names)
-    upto = group.orderBy(lat).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = per_value.select("*", F.sum(n).over(upto).alias("_upto"), F.sum(n).over(group).alias("_all"))
+    # a row without a latency is a decision, but has no place among the latencies
+    per_value = per_value.withColumn("_timed", F.when(lat.isNotNull(), n).otherwise(0))
+    ranked = _ranked(per_value, names, lat) if names else _ranked_all(per_value, lat)
     out = ranked.groupBy(*names).agg(
         F.sum("n").alias("n"),
         F.sum("n_accepted").alias("n_accepted"),
         F.sum("n_rejected").alias("n_rejected"),
         F.sum(F.when(lat < sla_ms, n).otherwise(0)).alias("n_within"),
         F.sum(F.when(lat >= sla_ms, n).otherwise(0)).alias("n_breached"),
-        F.sum(lat.cast("bigint") * n).alias("sum_ms"),
+        F.sum("_timed").alias("_timed"),
+        F.sum(lat.cast("decimal(20,0)") * n).alias("sum_ms"),
         F.min(lat).alias("min_ms"),
         F.max(lat).alias("max_ms"),
         *[_percentile(lat, percent).alias(f"p{percent}_ms") for percent in (50, 95, 99)],
     )
-    return out.withColumn("avg_ms", mean2(F.col("sum_ms"), n)).drop("sum_ms")
+    return out.withColumn("avg_ms", mean2(F.col("sum_ms"), F.col("_timed"))).drop("sum_ms", "_timed")
+
+
+def _ranked(per_value: DataFrame, names: Sequence[str], lat: Column) -> DataFrame:
+    """Adds ``_upto``, the timed rows up to a latency within its group, and ``_all``, those of the group."""
+    group = Window.partitionBy(*names)
+    upto = group.orderBy(lat).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return per_value.select("*", F.sum("_timed").over(upto).alias("_upto"), F.sum("_timed").over(group).alias("_all"))
+
+
+def _ranked_all(per_value: DataFrame, lat: Column) -> DataFrame:
+    """The same over everything, without a window that one task would have to run.
+
+    Latencies are dealt to ranges that widen with their size (64 to each doubling, some
+    5,000 for all 64-bit numbers). What lies before a range is summed over the ranges alone;
+    the running count within it is a window of its own.
+    """
+    part = (F.signum(lat) * F.floor(F.log2(F.abs(lat.cast("double")) + 1) * 64)).cast("int")
+    dealt = per_value.withColumn("_part", F.coalesce(part, F.lit(-(2**31))))
+    parts = dealt.groupBy("_part").agg(F.sum("_timed").alias("_here"))
+    order = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = parts.select("_part", F.coalesce(F.sum("_here").over(order), F.lit(0)).alias("_before"), F.sum("_here").over(whole).alias("_all"))
+    inside = Window.partitionBy("_part").orderBy(lat).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = dealt.withColumn("_inside", F.sum("_timed").over(inside)).join(F.broadcast(before), "_part")
+    return rows.withColumn("_upto", F.col("_before") + F.col("_inside")).drop("_part", "_before", "_inside")
 
 
 def _percentile(value: Column, percent: int) -> Column:
@@ -105,8 +126,12 @@ def latency_histogram(silver: DataFrame, by: Sequence[str] = (), bins: int = S.H
     by = list(by)
     lat = F.col("processing_latency_ms").cast("bigint")
     per_value = silver.filter(lat.isNotNull()).groupBy(*by, lat.alias("ms")).agg(F.count("*").alias("n"))
-    group = Window.partitionBy(*by)
-    ranged = per_value.select("*", F.min("ms").over(group).alias("lo"), F.max("ms").over(group).alias("hi"))
+    ends = per_value.groupBy(*by).agg(F.min("ms").alias("lo"), F.max("ms").alias("hi"))
+    if by:  # a null group is a group as well
+        same = [F.col(f"v.{c}").eqNullSafe(F.col(f"e.{c}")) for c in by]
+        ranged = per_value.alias("v").join(ends.alias("e"), same).select("v.*", "e.lo", "e.hi")
+    else:
+        ranged = per_value.select("*", ends.select("lo").scalar().alias("lo"), ends.select("hi").scalar().alias("hi"))
     lo, hi = F.col("lo"), F.col("hi")
     flat = lo == hi
     slot = F.expr(f"least({bins - 1}, (ms - lo) * {bins} div nullif(hi - lo, 0))")

@@ -1,12 +1,18 @@
-"""The jobs by name, for ``spark-submit``: bronze, dedup, gold, recon.
+"""The jobs by name: bronze, dedup, gold, recon.
 
-    spark-submit payguard/jobs.py --root s3a://bucket/payments bronze --servers host:9092 --interval "30 seconds"
-    spark-submit payguard/jobs.py --root ... dedup --servers host:9092 --interval "1 minute"
-    spark-submit payguard/jobs.py --root ... gold merchant sla customer system
-    spark-submit payguard/jobs.py --root ... recon
+    python -m payguard.jobs --root s3a://bucket/payments bronze --servers host:9092 --interval "30 seconds"
+    python -m payguard.jobs --root ... dedup --servers host:9092 --interval "1 minute"
+    python -m payguard.jobs --root ... gold merchant sla customer system
+    python -m payguard.jobs --root ... recon
 
-All tables of a deployment lie below one root. Without ``--interval`` a streaming
-job takes what is there and ends.
+On a cluster, where executors need the package as well:
+
+    spark-submit --py-files payguard.zip run_jobs.py --root ... bronze ...
+
+with a ``run_jobs.py`` of ``from payguard.jobs import main; main()``, or the package installed.
+
+All tables of a deployment lie below one root; reports are tables below ``recon``. Without
+``--interval`` a streaming job takes what is there and ends, in batches of bounded size.
 """
 
 from __future__ import annotations
@@ -32,11 +38,12 @@ PIPELINES = {
 }
 
 
-def source(spark: SparkSession, servers: str | None, files: str | None) -> DataFrame:
-    """Messages from a topic, or from text files with one message per line."""
+def source(spark: SparkSession, servers: str | None, files: str | None, most: int | None = None) -> DataFrame:
+    """Messages from a topic, or from text files with one message per line.
+    ``most`` bounds a batch: messages of a topic, or files."""
     if servers:
-        return messages.kafka_stream(spark, servers)
-    return messages.file_stream(spark, files, "text")
+        return messages.kafka_stream(spark, servers, max_per_trigger=most or S.MAX_MESSAGES_PER_TRIGGER)
+    return messages.file_stream(spark, files, "text", most or S.MAX_FILES_PER_TRIGGER)
 
 
 def run_bronze(spark: SparkSession, root: str, stream: DataFrame, interval: str | None = None) -> None:
@@ -47,11 +54,11 @@ def run_bronze(spark: SparkSession, root: str, stream: DataFrame, interval: str
 
 def run_dedup(
     spark: SparkSession, root: str, stream: DataFrame, interval: str | None = None,
-    ttl: int = S.TTL_SECONDS, lookback_days: int | None = None,
+    ttl: int = S.TTL_SECONDS, record_invalid: bool = False,
 ) -> None:
     dedup_stream.start(
-        dedup_stream.valid_events(stream), f"{root}/silver", f"{root}/registry", f"{root}/offsets/dedup",
-        ttl=ttl, interval=interval, lookback_days=lookback_days,
+        dedup_stream.checked_events(stream), f"{root}/silver", f"{root}/registry", f"{root}/offsets/dedup",
+        ttl=ttl, interval=interval, deadletter_path=f"{root}/deadletter_silver", record_invalid=record_invalid,
     ).awaitTermination()
 
 
@@ -99,10 +106,11 @@ def main(argv: list[str] | None = None) -> None:
         where = p.add_mutually_exclusive_group(required=True)
         where.add_argument("--servers", help="Kafka bootstrap servers")
         where.add_argument("--files", help="folder of text files, one message per line")
+        p.add_argument("--max-per-trigger", type=int, help="messages of a topic, or files, in one batch at most")
         p.add_argument("--interval", help="trigger interval; default: take what is there and end")
         if name == "dedup":
             p.add_argument("--ttl", type=int, default=S.TTL_SECONDS)
-            p.add_argument("--lookback-days", type=int)
+            p.add_argument("--record-invalid", action="store_true", help="decide refused messages as invalid")
     p = jobs.add_parser("gold")
     p.add_argument("names", nargs="+", choices=sorted(PIPELINES))
     p.add_argument("--mode", choices=("full_bucket", "slice"), default="full_bucket")
@@ -112,16 +120,18 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"payguard-{args.job}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if args.job == "bronze":
-        run_bronze(spark, args.root, source(spark, args.servers, args.files), args.interval)
+        run_bronze(spark, args.root, source(spark, args.servers, args.files, args.max_per_trigger), args.interval)
     elif args.job == "dedup":
-        run_dedup(spark, args.root, source(spark, args.servers, args.files), args.interval,
-                  args.ttl, args.lookback_days)
+        run_dedup(spark, args.root, source(spark, args.servers, args.files, args.max_per_trigger), args.interval,
+                  args.ttl, args.record_invalid)
     elif args.job == "gold":
         print(run_gold(spark, args.root, args.names, args.mode))
     else:
         for title, report in reports(spark, args.root).items():
-            print(title)
-            report.show(100, truncate=False)
+            path = f"{args.root}/recon/{title.replace(' ', '_')}"
+            report.write.mode("overwrite").parquet(path)
+            print(f"{title}: {path}")
+        spark.read.parquet(f"{args.root}/recon/verdicts").show(truncate=False)  # one row
 
 
 if __name__ == "__main__":

@@ -18,6 +18,14 @@ SILVER_LIMITS = {
     "currency": 3, "payment_method": 32,
 }
 
+# An IPv4 address in four decimal parts or an IPv6 one in hexadecimal groups, with or
+# without the length of a network.
+_BYTE = r"(25[0-5]|2[0-4]\d|1?\d?\d)"
+_GROUP = r"[0-9A-Fa-f]{1,4}"
+_V4 = rf"{_BYTE}(\.{_BYTE}){{3}}"
+_V6 = rf"({_GROUP}:){{7}}{_GROUP}|(?=[^.]*::)(?!.*::.*::)({_GROUP}(::?)|::){{1,7}}({_GROUP})?|({_GROUP}:)*:?:([fF]{{4}}:)?{_V4}"
+ADDRESS = rf"^(({_V4})(/([12]?\d|3[0-2]))?|({_V6})(/(1[01]\d|12[0-8]|\d?\d))?)$"
+
 
 def _reasons(layer: str) -> list[Column]:
     """One column per rule, null when the rule holds. Works on the decoded text."""
@@ -39,6 +47,7 @@ def _reasons(layer: str) -> list[Column]:
         for name, to in {"retry_count": "smallint", "is_retry_flag": "boolean"}.items():
             out.append(F.when(F.col(name).isNotNull() & F.col(name).try_cast(to).isNull(),
                               F.lit(f"{name} not a {to}")))
+        out.append(F.when(~F.col("source_ip").rlike(ADDRESS), F.lit("source_ip not an address")))
     return out
 
 
@@ -63,10 +72,11 @@ def dead_letters(checked: DataFrame) -> DataFrame:
     )
 
 
-def invalid_decisions(checked: DataFrame) -> DataFrame:
+def invalid_decisions(checked: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Refused messages that can be named, as decisions with status invalid.
 
-    Off by default in the pipelines: the plain behavior only dead-letters them.
+    An option of the dedup job (``record_invalid``); without it they are dead letters only.
+    ``keep`` names more columns to carry.
     """
     return checked.filter(
         F.col("invalid_reason").isNotNull() & F.col("payment_id").isNotNull()
@@ -75,4 +85,5 @@ def invalid_decisions(checked: DataFrame) -> DataFrame:
         F.lit(S.REJECTED_INVALID).alias("dedup_status"),
         F.col("invalid_reason").alias("rejection_reason"),
         F.lit(None).cast("string").alias("original_payment_id"),
+        *[c for c in keep if c in checked.columns],
     )

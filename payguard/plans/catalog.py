@@ -216,8 +216,7 @@ def customer_retry_depth(spark, d):
 
 def customer_retry_interval(spark, d):
     return flat(
-        _all_retries(spark, d).filter("retry_gaps > 0")
-        .select("customer_id", "day_bucket", "retry_gaps", "avg_retry_interval_sec")
+        _all_retries(spark, d).select("customer_id", "day_bucket", "retry_gaps", "avg_retry_interval_sec")
     )
 
 
@@ -354,12 +353,10 @@ def recon_merchant_band(spark, d):
 
 
 def recon_missing_decisions(spark, d):
-    """Bronze as received against decisions of valid messages only, and a Bronze
-    that lacks the retries against all decisions: both directions show."""
-    b = bronze(spark, d)
-    lost = validity.valid(_checked(spark, d, "silver")).select("payment_id")
-    kept = b.filter(F.col("retry_count") < 4)
-    return flat(recon.missing_decisions(kept, lost))
+    """Layers that each lost some payments: decisions on all of Bronze, of which those with one
+    latency are gone, against a Bronze without the payments of another."""
+    lost = lambda df, ms: df.filter(F.col("processing_latency_ms") != ms)
+    return flat(recon.missing_decisions(lost(bronze(spark, d), 11), lost(silver(spark, d), 7)))
 
 
 def recon_summary(spark, d):

@@ -287,8 +287,10 @@ group by all""",
   select customer_id, strftime(decision_at, '%Y-%m-%d') as day_bucket, count(*) as retry_gaps,
          cast(sum(epoch_us(decision_at) - epoch_us(before)) as bigint) as us
   from chains where before is not null group by all
-) select customer_id, day_bucket, retry_gaps,
-         ((2 * us + retry_gaps * 10000) // (retry_gaps * 20000)) / 100.0 as avg_retry_interval_sec from gaps""",
+) select customer_id, day_bucket, coalesce(retry_gaps, 0) as retry_gaps,
+         ((2 * us + retry_gaps * 10000) // (retry_gaps * 20000)) / 100.0 as avg_retry_interval_sec
+from (select distinct customer_id, strftime(decision_at, '%Y-%m-%d') as day_bucket from silver)
+left join gaps using (customer_id, day_bucket)""",
     "gold_system_summary": _SYSTEM,
     "gold_flagged_top10": f"""{BASE} select customer_id, day_bucket, duplicate_attempts
 from ({_customer('silver')}) where flagged_for_review
@@ -340,9 +342,9 @@ order by duplicate_rate_pct desc, merchant_id""",
     when duplicate_rate_pct > 14 then 'yellow' else 'green' end as band
 from (select merchant_id, n as total, acc as accepted, rej as rejected, {_pct('rej', 'n')} as duplicate_rate_pct
       from (select merchant_id, {_STATS} from silver group by 1) g) m""",
-    "recon_missing_decisions": f"""{BASE}, {_FAULTY}, b as (
-  select payment_id, count(*) as c from payments where retry_count < 4 group by 1
-), s as (select payment_id, count(*) as c from faulty where reason is null group by 1)
+    "recon_missing_decisions": f"""{BASE}, b as (
+  select payment_id, count(*) as c from payments where processing_latency_ms <> 11 group by 1
+), s as (select payment_id, count(*) as c from silver where processing_latency_ms <> 7 group by 1)
 select payment_id, case when s.c is null then 'silver' else 'bronze' end as missing_in, coalesce(b.c, s.c) as row_count
 from b full outer join s using (payment_id) where b.c is null or s.c is null""",
     "recon_summary": f"""{BASE}, {_SUMMARY} select *,

@@ -39,41 +39,38 @@ SILVER = struct_of(
     "payment_id string, idempotency_key string, idempotency_key_hash string,"
     " customer_id string, merchant_id string, amount decimal(18,4), currency string,"
     " payment_method string, dedup_status string, rejection_reason string,"
-    " original_payment_id string, processing_latency_ms integer, redis_lookup_ms short,"
-    " kafka_lag_ms integer, event_timestamp timestamp, decision_at timestamp,"
+    " original_payment_id string, processing_latency_ms long, redis_lookup_ms short,"
+    " kafka_lag_ms long, event_timestamp timestamp, decision_at timestamp,"
     " flink_job_id string, kafka_partition short, kafka_offset long"
 )
 
-# One row per acceptance: the key, the payment that took it and when.
-REGISTRY = struct_of("idempotency_key string, payment_id string, accepted_at timestamp")
-
-# Latency columns hold any integer of milliseconds: a replay of old events, decided
-# now, has latencies of days, and a narrower decimal would stop the run.
+# Counters and latencies are 64 bits wide: a day of a large system has more events than
+# fit 32, and a replay of old events, decided now, has latencies of days.
 GOLD_MERCHANT = struct_of(
-    "merchant_id string, hour_bucket timestamp, total_payments integer, accepted_payments integer,"
-    " rejected_duplicates integer, duplicate_rate_pct decimal(5,2), avg_latency_ms decimal(12,2),"
-    " p95_latency_ms decimal(12,2), p99_latency_ms decimal(12,2), aggregated_at timestamp"
+    "merchant_id string, hour_bucket timestamp, total_payments long, accepted_payments long,"
+    " rejected_duplicates long, duplicate_rate_pct decimal(5,2), avg_latency_ms decimal(20,2),"
+    " p95_latency_ms decimal(20,2), p99_latency_ms decimal(20,2), aggregated_at timestamp"
 )
 
 GOLD_SLA = struct_of(
-    "hour_bucket timestamp, total_decisions integer, within_sla_count integer,"
-    " breached_sla_count integer, sla_compliance_pct decimal(5,2), avg_latency_ms decimal(12,2),"
-    " max_latency_ms integer, p50_latency_ms decimal(12,2), p95_latency_ms decimal(12,2),"
-    " p99_latency_ms decimal(12,2), aggregated_at timestamp"
+    "hour_bucket timestamp, total_decisions long, within_sla_count long,"
+    " breached_sla_count long, sla_compliance_pct decimal(5,2), avg_latency_ms decimal(20,2),"
+    " max_latency_ms long, p50_latency_ms decimal(20,2), p95_latency_ms decimal(20,2),"
+    " p99_latency_ms decimal(20,2), aggregated_at timestamp"
 )
 
 GOLD_CUSTOMER = struct_of(
-    "customer_id string, day_bucket date, total_payments integer, unique_payments integer,"
-    " duplicate_attempts integer, max_retries_single_txn short,"
-    " avg_retry_interval_sec decimal(10,2), flagged_for_review boolean,"
+    "customer_id string, day_bucket date, total_payments long, unique_payments long,"
+    " duplicate_attempts long, max_retries_single_txn short,"
+    " avg_retry_interval_sec decimal(20,2), flagged_for_review boolean,"
     " aggregated_at timestamp"
 )
 
 GOLD_SYSTEM = struct_of(
-    "day_bucket date, total_events_received integer, total_accepted integer, total_rejected integer,"
+    "day_bucket date, total_events_received long, total_accepted long, total_rejected long,"
     " overall_duplicate_rate decimal(5,2), overall_sla_compliance decimal(5,2),"
-    " avg_latency_ms decimal(12,2), p99_latency_ms decimal(12,2), unique_customers integer,"
-    " unique_merchants integer, aggregated_at timestamp"
+    " avg_latency_ms decimal(20,2), p99_latency_ms decimal(20,2), unique_customers long,"
+    " unique_merchants long, aggregated_at timestamp"
 )
 
 WATERMARKS = struct_of(

@@ -24,6 +24,9 @@ PIPELINE_SLA = "sla_compliance_hourly"
 PIPELINE_CUSTOMER = "customer_retry_patterns_daily"
 PIPELINE_SYSTEM = "system_summary_daily"
 PIPELINES = (PIPELINE_MERCHANT, PIPELINE_SLA, PIPELINE_CUSTOMER, PIPELINE_SYSTEM)
+# A micro-batch takes at most so much of a backlog.
+MAX_MESSAGES_PER_TRIGGER = 2_000_000
+MAX_FILES_PER_TRIGGER = 200
 TOPIC_RAW = "payments.raw"
 TOPIC_DECISIONS = "payments.decisions"
 TOPIC_DEADLETTER = "payments.deadletter"

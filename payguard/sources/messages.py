@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payguard import settings as S
+from payguard.functions.keys import iso_utc
 from payguard.schemas import MESSAGE
 
 
@@ -13,7 +14,7 @@ def kafka_stream(
     spark: SparkSession,
     servers: str,
     topic: str = S.TOPIC_RAW,
-    max_per_trigger: int | None = None,
+    max_per_trigger: int | None = S.MAX_MESSAGES_PER_TRIGGER,
     min_partitions: int | None = None,
 ) -> DataFrame:
     """The topic from its earliest offset. Needs the Kafka connector on the class path.
@@ -43,10 +44,11 @@ def file_stream(
     spark: SparkSession,
     path: str,
     fmt: str = "parquet",
-    files_per_trigger: int | None = None,
+    files_per_trigger: int | None = S.MAX_FILES_PER_TRIGGER,
     schema=None,
 ) -> DataFrame:
-    """A folder of message files as a stream; ``text`` gives one message per line."""
+    """A folder of message files as a stream; ``text`` gives one message per line.
+    ``files_per_trigger`` bounds a batch."""
     reader = spark.readStream.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
@@ -113,7 +115,7 @@ def publish(messages: DataFrame, servers: str, topic: str, checkpoint: str | Non
 
 
 def iso_micros(ts: str) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    return iso_utc(ts, micros=True)
 
 
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:

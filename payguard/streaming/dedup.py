@@ -32,26 +32,38 @@ REGISTRY_TABLE = struct_of(
 )
 
 
+# What Silver is looked through for: its payment ids, by batch.
+SEEN = struct_of("payment_id string, batch_id long")
+STAMPS = ("ingested_at", "kafka_partition", "kafka_offset", "decision_at")
+NEEDED = {
+    "payment_id", "idempotency_key", "customer_id", "merchant_id", "amount", "currency", "payment_method",
+    "event_timestamp", "processing_latency_ms", *STAMPS,
+}
+
+
 def stamp(stream: DataFrame) -> DataFrame:
     """Arrival, decision time and latency where the rows do not bring them.
 
     The clock of a micro-batch is fixed in the checkpoint, so a batch run again
-    gets the same stamps.
+    gets the same stamps. Messages not yet typed get their latency with the types.
     """
     for name in ("ingested_at", "decision_at"):
         if name not in stream.columns:
             stream = stream.withColumn(name, F.current_timestamp())
-    if "processing_latency_ms" not in stream.columns:
+    if "processing_latency_ms" not in stream.columns and "invalid_reason" not in stream.columns:
         stream = stream.withColumn("processing_latency_ms", latency_ms())
     return stream
 
 
-def valid_events(stream: DataFrame) -> DataFrame:
-    """Messages as typed events, those fit for a decision only.
+def checked_events(stream: DataFrame) -> DataFrame:
+    """Messages with ``invalid_reason``, as the decision sees them: null in those fit for one."""
+    return validity.with_reasons(messages.decode(stream), "silver")
 
-    The refused ones are in the dead letter of the Bronze job.
-    """
-    return messages.typed(validity.valid(validity.with_reasons(messages.decode(stream), "silver")))
+
+def valid_events(stream: DataFrame) -> DataFrame:
+    """Messages as typed events, those fit for a decision only; give ``start`` the
+    ``checked_events`` to have the others in a dead letter."""
+    return messages.typed(validity.valid(checked_events(stream)))
 
 
 def carried_entries(batch: DataFrame, rows: int, registry_path: str, batch_id: int, ttl: int) -> DataFrame | None:
@@ -80,51 +92,66 @@ def start(
     ttl: int = S.TTL_SECONDS,
     hot_rows: int = S.HOT_KEY_ROWS,
     interval: str | None = None,
-    lookback_days: int | None = None,
+    deadletter_path: str | None = None,
+    record_invalid: bool = False,
     report: Callable[[int, dict], None] | None = None,
 ) -> StreamingQuery:
-    """Start the job over valid events, such as ``valid_events`` gives.
+    """Start the job over events, or over messages such as ``checked_events`` gives.
 
-    Silver keeps the first decision of a payment_id. By default the whole history
-    is looked through, its payment_id column only. ``lookback_days`` prunes that to
-    recent decision dates: exact as long as no payment_id comes back later than
-    that, so it should exceed the retention of the topic. ``report`` receives the
-    counters of each finished batch (``registry.decision_counts``).
+    Refused messages, also those that Bronze took, go to ``deadletter_path`` with the
+    layer that refused them; with ``record_invalid`` those that can be named become
+    decisions with status invalid as well. Silver keeps the first decision of a
+    payment_id, against the payment_id column of the whole history. ``report`` receives
+    the counters of each finished batch (``registry.decision_counts``).
     """
+    if "invalid_reason" in stream.columns and deadletter_path is None:
+        raise ValueError("checked messages need a deadletter_path")
+
+    def refuse(batch: DataFrame, batch_id: int) -> None:
+        rows = validity.dead_letters(batch).withColumn("layer", F.lit("silver"))
+        dated = rows.withColumn("ingested_date", F.to_date("ingested_at")).withColumn("batch_id", F.lit(batch_id))
+        tables.replace_partitions(dated, deadletter_path, ["ingested_date", "batch_id"])
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        rows = batch.count()
-        if not rows:
-            batch.unpersist()
-            return
-        spark = batch.sparkSession
-        carried = carried_entries(batch, rows, registry_path, batch_id, ttl)
-        decided = dedup.decide(batch, ttl, hot_rows=hot_rows, carried=carried).persist()
+        checked = batch.persist() if "invalid_reason" in batch.columns else None
+        refused = None
+        if checked is not None:
+            refuse(checked, batch_id)
+            refused = validity.invalid_decisions(checked, STAMPS) if record_invalid else None
+            batch = messages.typed(validity.valid(checked)).withColumn("processing_latency_ms", latency_ms())
+        # What neither the decision nor its record needs is not kept or shuffled.
+        events = batch.select(*[c for c in batch.columns if c in NEEDED]).persist()
+        kept = [events] if checked is None else [events, checked]
         try:
-            taken = registry.acceptances(decided).withColumn("accepted_date", F.to_date("accepted_at"))
-            # Narrow rows that every later batch reads: few files matter more than a shuffle.
-            tables.replace_partitions(
-                taken.withColumn("batch_id", F.lit(batch_id)), registry_path,
-                ["accepted_date", "batch_id"], rebalance=True,
-            )
-            earlier = None
-            if tables.path_exists(spark, silver_path):
-                earlier = spark.read.parquet(silver_path).filter(F.col("batch_id") < batch_id)
-                if lookback_days is not None:
-                    first = batch.agg(F.unix_micros(F.min("decision_at"))).first()[0]
-                    since = F.date_sub(F.to_date(F.timestamp_micros(F.lit(first))), lookback_days)
-                    earlier = earlier.filter(F.col("decision_date") >= since)
-            new = tables.insert_if_absent(decided, earlier, order=dedup.arrival_columns(decided), new_rows=rows)
-            record = conform(dedup.silver_records(new), SILVER)
-            dated = record.withColumn("decision_date", F.to_date("decision_at")).withColumn(
-                "batch_id", F.lit(batch_id)
-            )
-            tables.replace_partitions(dated, silver_path, ["decision_date", "batch_id"])
-            if report is not None:
-                report(batch_id, registry.decision_counts(decided).first().asDict())
+            rows = events.count()
+            if rows or refused is not None:
+                kept.append(decide(events, rows, refused, batch_id))
         finally:
-            decided.unpersist()
-            batch.unpersist()
+            for df in kept:
+                df.unpersist()
+
+    def decide(events: DataFrame, rows: int, refused: DataFrame | None, batch_id: int) -> DataFrame:
+        spark = events.sparkSession
+        carried = carried_entries(events, rows, registry_path, batch_id, ttl) if rows else None
+        decided = dedup.decide(events, ttl, hot_rows=hot_rows, carried=carried).drop("registry_key")
+        if refused is not None:
+            decided = decided.unionByName(refused, allowMissingColumns=True)
+        decided = decided.persist()
+        taken = registry.acceptances(decided).withColumn("accepted_date", F.to_date("accepted_at"))
+        # Narrow rows that every later batch reads: few files matter more than a shuffle.
+        tables.replace_partitions(
+            taken.withColumn("batch_id", F.lit(batch_id)), registry_path,
+            ["accepted_date", "batch_id"], rebalance=True,
+        )
+        earlier = None
+        if tables.path_exists(spark, silver_path):
+            earlier = tables.read_table(spark, silver_path, SEEN).filter(F.col("batch_id") < batch_id)
+        new = tables.insert_if_absent(decided, earlier, order=dedup.arrival_columns(decided), new_rows=rows or None)
+        record = conform(dedup.silver_records(new), SILVER)
+        dated = record.withColumn("decision_date", F.to_date("decision_at")).withColumn("batch_id", F.lit(batch_id))
+        tables.replace_partitions(dated, silver_path, ["decision_date", "batch_id"])
+        if report is not None:
+            report(batch_id, registry.decision_counts(decided).first().asDict())
+        return decided
 
     return writer(stamp(stream), step, checkpoint, interval)

@@ -7,10 +7,14 @@ bounded by the size of a batch; with hot keys use ``streaming.dedup``.
 A row is compared with the acceptance it finds, expired or not, so clearing state
 decides nothing; it must only not come too early, and it needs a watermark, which
 drops rows behind it. Both are settled by the topic's retention R: a row still to
-come arrived at most R ago. The watermark clock is the arrival time, or now - R
-where that is later, with a delay of R. So the watermark is never later than
-now - R: no row is behind it, and an entry whose span ends before it meets no
-further row. Files replayed with arrivals older than R fall under the second
+come arrived at most R ago. The watermark clock is the arrival time, but at least
+now - R and at most now, with a delay of R. So the watermark is never later than
+now - R, whatever time a producer stamps: no row is behind it, and an entry whose
+span ends before it meets no further row.
+
+A payment is decided once: the state of a key also holds the payments decided under
+it, for as long as a message can come again. A payment_id belongs to one key, which
+is made from the payment's own fields. Files replayed with arrivals older than R fall under the second
 branch of the clock: their entries stay for at least R of running time; for a
 replay that runs longer, use ``streaming.dedup`` or ``evict=False``.
 """
@@ -40,14 +44,16 @@ class FirstSight(StatefulProcessor):
     Times are compared as epoch microseconds (``_us``), which no time zone touches.
     """
 
-    def __init__(self, columns: list[str], order: list[str], ttl: int, evict: bool) -> None:
+    def __init__(self, columns: list[str], order: list[str], ttl: int, evict: bool, retention: int) -> None:
         self.columns, self.order, self.ttl_us, self.evict = columns, order, ttl * 1_000_000, evict
+        self.kept_us = retention * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.held = handle.getValueState(
             "held", struct_of("payment_id string, accepted_us long, timer_ms long")
         )
+        self.decided = handle.getMapState("decided", struct_of("payment_id string"), struct_of("timer_ms long"))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         payment, since, timer = tuple(self.held.get()) if self.held.exists() else (None, None, 0)
@@ -55,6 +61,12 @@ class FirstSight(StatefulProcessor):
         # Null sorts before any value, as it does in the batch order.
         position = lambda r: tuple((r[c] is not None, r[c]) for c in self.order)
         for r in sorted(rows, key=position):
+            if self.decided.containsKey((r["payment_id"],)):
+                continue
+            forget = (r["_clock_us"] + self.kept_us) // 1000 + 1
+            self.decided.updateValue((r["payment_id"],), (forget,))
+            if self.evict:
+                self.handle.registerTimer(forget)
             if since is None or r["_us"] >= since + self.ttl_us:
                 payment, since, clock_us = r["payment_id"], r["_us"], r["_clock_us"]
                 found = (S.ACCEPTED, None, None)
@@ -69,8 +81,11 @@ class FirstSight(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         # An older timer of a key that was taken anew meanwhile clears nothing.
-        if self.held.exists() and self.held.get()[2] == expiredTimerInfo.getExpiryTimeInMs():
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        if self.held.exists() and self.held.get()[2] == now:
             self.held.clear()
+        for payment in [p for p, timer in self.decided.iterator() if timer[0] <= now]:
+            self.decided.removeKey(payment)
         return iter(())
 
     def close(self) -> None:
@@ -90,13 +105,13 @@ def decide_stream(
     oldest = F.current_timestamp() - F.make_dt_interval(secs=F.lit(retention))
     timed = (
         rows.withColumn("_us", F.unix_micros("ingested_at"))
-        .withColumn("_clock", F.greatest("ingested_at", oldest))
+        .withColumn("_clock", F.least(F.greatest("ingested_at", oldest), F.current_timestamp()))
         .withColumn("_clock_us", F.unix_micros("_clock"))
     )
     if evict:
         timed = timed.withWatermark("_clock", f"{retention} seconds")
     return timed.groupBy("idempotency_key").transformWithState(
-        statefulProcessor=FirstSight(rows.columns, order, ttl, evict),
+        statefulProcessor=FirstSight(rows.columns, order, ttl, evict, retention),
         outputStructType=schema,
         outputMode="append",
         timeMode="EventTime" if evict else "None",
@@ -121,6 +136,7 @@ def start(
     """
     conf = stream.sparkSession.conf
     shuffle = conf.get("spark.sql.shuffle.partitions")
+    provider = conf.get("spark.sql.streaming.stateStore.providerClass", None)
     # This kind of state needs the RocksDB store; it also keeps large state off the heap.
     conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     conf.set("spark.sql.shuffle.partitions", str(partitions or shuffle))
@@ -134,6 +150,10 @@ def start(
         return (w.trigger(processingTime=interval) if interval else w.trigger(availableNow=True)).start()
     finally:
         conf.set("spark.sql.shuffle.partitions", shuffle)
+        if provider is None:
+            conf.unset("spark.sql.streaming.stateStore.providerClass")
+        else:
+            conf.set("spark.sql.streaming.stateStore.providerClass", provider)
 
 
 def held_keys(spark: SparkSession, checkpoint: str) -> DataFrame:

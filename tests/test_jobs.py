@@ -39,3 +39,13 @@ def test_from_messages_to_reports(spark, sf_dir, capsys):
     assert jobs.run_gold(spark, root, ["merchant"]) == {"merchant": 0}
     jobs.main(["--root", root, "recon"])
     assert "overall_status" in capsys.readouterr().out
+    assert spark.read.parquet(f"{root}/recon/duplicate_rate_by_merchant").count() == 10
+
+
+def test_the_documented_command_starts():
+    import subprocess
+    import sys
+
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-m", "payguard.jobs", "--help"], cwd=here, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0 and "recon" in done.stdout

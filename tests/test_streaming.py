@@ -166,13 +166,53 @@ def test_messages_become_decisions(spark):
     }
 
 
-def test_lookback_finds_recent_copies(spark):
+@pytest.mark.parametrize("kind", ["registry", "stateful"])
+def test_a_redelivered_payment_is_decided_once(spark, kind):
     base = tempfile.mkdtemp()
-    for part in ([("a", "k", at(0))], [("a", "k", at(40)), ("b", "k", at(41))]):
+    parts = [
+        [("a", "k", at(0)), ("a", "k", at(0, minutes=1)), ("b", "k", at(1))],
+        [("a", "k", at(2)), ("b", "k", at(30)), ("c", "k", at(31))],
+    ]
+    for part in parts:
         write_parts(spark, part, f"{base}/in", 1)
-        dedup_stream.start(
-            read_stream(spark, f"{base}/in"), f"{base}/silver", f"{base}/registry", f"{base}/offsets", lookback_days=3
-        ).awaitTermination()
-    assert decisions(spark.read.parquet(f"{base}/silver")) == {
-        "a": ("ACCEPTED", None), "b": ("REJECTED_DUPLICATE", "a"),
-    }
+        start(kind, read_stream(spark, f"{base}/in"), base).awaitTermination()
+    out = spark.read.parquet(f"{base}/silver")
+    assert out.count() == 3
+    got = decisions(out)
+    assert got["a"] == ("ACCEPTED", None) and got["b"] == ("REJECTED_DUPLICATE", "a")
+
+
+def test_an_event_stamped_ahead_drops_none(spark):
+    from datetime import datetime, timedelta, timezone
+
+    base = tempfile.mkdtemp()
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    parts = [[("far", "f", now + timedelta(days=400)), ("a", "x", now)], [("b", "y", now), ("c", "x", now)], [("d", "z", now)]]
+    for part in parts:
+        write_parts(spark, part, f"{base}/in", 1)
+        start("stateful", read_stream(spark, f"{base}/in"), base).awaitTermination()
+    assert set(decisions(spark.read.parquet(f"{base}/silver"))) == {"far", "a", "b", "c", "d"}
+
+
+@pytest.mark.parametrize("invalid", [False, True])
+def test_what_only_the_decision_refuses_is_a_dead_letter(spark, invalid):
+    import json
+
+    base = tempfile.mkdtemp()
+    os.makedirs(f"{base}/in")
+    long_key = json.dumps(json.loads(GOOD % "long") | {"idempotency_key": "k" * 100})
+    with open(f"{base}/in/1.txt", "w") as f:
+        f.write("\n".join([GOOD % "a", long_key, GOOD % "a", '{"broken']) + "\n")
+    messages_in = messages.file_stream(spark, f"{base}/in", "text")
+    counts = {}
+    dedup_stream.start(
+        dedup_stream.checked_events(messages_in), f"{base}/silver", f"{base}/registry", f"{base}/offsets",
+        deadletter_path=f"{base}/dead", record_invalid=invalid, report=counts.__setitem__,
+    ).awaitTermination()
+    dead = spark.read.parquet(f"{base}/dead")
+    assert {(r["payment_id"], r["layer"]) for r in dead.collect()} == {("long", "silver"), (None, "silver")}
+    silver = {r["payment_id"]: r["dedup_status"] for r in spark.read.parquet(f"{base}/silver").collect()}
+    assert silver == {"a": "ACCEPTED"} | ({"long": "REJECTED_INVALID"} if invalid else {})
+    assert counts[0]["total_errors"] == int(invalid)
+    # four messages: one decision, its repeat, two refused
+    assert 4 == 1 + 1 + dead.count()

@@ -239,6 +239,48 @@ def test_latency_truncates(spark):
     assert df.select(measures.latency_ms()).first()[0] == 1
 
 
-def test_latency_of_a_replayed_event_stays_in_range(spark):
+def test_latency_of_a_replayed_event(spark):
     df = spark.createDataFrame([(at(), at(24 * 60))], "event_timestamp timestamp, decision_at timestamp")
-    assert df.select(measures.latency_ms()).first()[0] == 2**31 - 1
+    hours = (at(24 * 60) - at()).total_seconds()
+    assert df.select(measures.latency_ms()).first()[0] == hours * 1000 > 2**31
+
+
+def test_counters_and_latencies_beyond_32_bits(spark):
+    from payguard import schemas
+
+    big = 3_000_000_000
+    df = spark.createDataFrame([("m", at(), big, big)], "merchant_id string, hour_bucket timestamp, total_payments long, avg_latency_ms long")
+    row = schemas.conform(df, schemas.GOLD_MERCHANT).first()
+    assert (row["total_payments"], int(row["avg_latency_ms"])) == (big, big)
+
+
+def test_percentiles_of_everything_match_those_of_one_group(spark):
+    import random
+
+    rng = random.Random(4)
+    values = [rng.choice([None, -rng.randrange(10), rng.randrange(60), rng.randrange(10**6), rng.randrange(10**10)]) for _ in range(3_000)]
+    df = spark.createDataFrame([("g", "ACCEPTED", v) for v in values], "g string, dedup_status string, processing_latency_ms long").repartition(6)
+    names = ["n", "n_within", "avg_ms", "min_ms", "max_ms", "p50_ms", "p95_ms", "p99_ms"]
+    everything = measures.latency_profile(df, []).select(*names).first()
+    assert everything == measures.latency_profile(df, ["g"]).select(*names).first()
+    timed = sorted(v for v in values if v is not None)
+    k = (len(timed) - 1) * 95
+    low = timed[k // 100]
+    want = low + (timed[min(k // 100 + 1, len(timed) - 1)] - low) * (k % 100) / 100
+    assert abs(float(everything["p95_ms"]) - want) < 0.01 and everything["n"] == 3_000
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+def test_key_does_not_depend_on_the_session_zone(spark, zone):
+    import hashlib
+
+    from payguard.functions import keys
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.range(1).select(F.timestamp_seconds(F.lit(1_710_053_999)).alias("t"))  # an hour before a change of clocks
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        key = df.select(keys.idempotency_key(F.lit("c"), F.lit("m"), F.lit(5), F.lit("USD"), "t")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert key == hashlib.sha256(b"c|m|5.0000|USD|2024-03-10T06:55:00+00:00").hexdigest()
