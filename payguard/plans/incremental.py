@@ -106,8 +106,10 @@ def run(
 
     Only two values reach the driver: the mark and the frozen upper bound.
     ``until`` lowers the bound, to catch up in portions. ``bronze`` is for the system
-    summary and is cut to the days of the run.
+    summary, see ``run_system``.
     """
+    if bronze is not None:
+        return run_system(pipeline, bronze, silver, gold_path, log_path, until)
     if mode not in ("full_bucket", "slice"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = silver.sparkSession
@@ -121,9 +123,8 @@ def run(
         return None
     high = watermark.instant(high_us)
     source = slice_input(silver, mark, high) if mode == "slice" else bucket_input(silver, mark, high, pipeline.part_unit)
-    inputs = [source] if bronze is None else [_days_of(bronze, mark, high), source]
     stamped = schemas.conform(
-        pipeline.compute(*inputs).withColumn("aggregated_at", F.current_timestamp()), pipeline.schema
+        pipeline.compute(source).withColumn("aggregated_at", F.current_timestamp()), pipeline.schema
     ).withColumn(PART, pipeline.part())
     if mode == "slice":
         tables.upsert_partitions(stamped, gold_path, pipeline.table_schema(), pipeline.keys, PART)
@@ -134,15 +135,54 @@ def run(
     return RunResult(high_us, rows)
 
 
-def _days_of(bronze: DataFrame, mark: Column, high: Column) -> DataFrame:
-    """Bronze rows ingested on the days a run replaces, by the instant itself so
-    that the filter reaches the scan, and by the date partition where there is one."""
-    first = F.date_trunc("day", mark)
-    after = F.date_trunc("day", high) + F.expr("interval 1 day")
-    out = bronze.filter((F.col("ingested_at") >= first) & (F.col("ingested_at") < after))
-    if "ingested_date" in bronze.columns:
-        out = out.filter(F.col("ingested_date").between(F.to_date(mark), F.to_date(high)))
-    return out
+def run_system(
+    pipeline: Pipeline, bronze: DataFrame, silver: DataFrame, gold_path: str, log_path: str, until: Column | None = None
+) -> RunResult | None:
+    """One run over both layers, each with a mark of its own.
+
+    Silver's mark is a decision time, Bronze's (``<name>:bronze``) an ingest time and,
+    where Bronze has batches, its last batch: a batch written late is new whatever day
+    its rows were ingested on. The days that either layer has news of are recomputed
+    in full from both and replaced. Days are dates, so their list is short.
+    """
+    spark = silver.sparkSession
+    log = tables.read_table(spark, log_path, schemas.WATERMARKS)
+
+    def mark_of(name: str) -> int:
+        return watermark.read(log, name).select(F.unix_micros("last_processed_at")).first()[0]
+
+    if until is not None:
+        silver = silver.filter(F.col("decision_at") <= until)
+    mark_us, seen = mark_of(pipeline.name), mark_of(f"{pipeline.name}:bronze")
+    # the log holds instants; a batch number is kept as so many microseconds
+    batches = "batch_id" in bronze.columns
+    order = F.col("batch_id") + 1 if batches else F.unix_micros("ingested_at")
+    high_us = watermark.new_mark(silver, watermark.instant(mark_us)).select(F.unix_micros("max_decision_at")).first()[0]
+    new_bronze = bronze.filter(order > seen)
+    if not batches and until is not None:
+        new_bronze = new_bronze.filter(F.col("ingested_at") <= until)
+    high_bronze = new_bronze.agg(F.max(order)).first()[0]
+    if high_us is None and high_bronze is None:
+        return None
+    new_silver = silver.filter((F.col("decision_at") > watermark.instant(mark_us)))
+    days = new_bronze.select(F.to_date("ingested_at").alias("d")).union(new_silver.select(F.to_date("decision_at").alias("d")))
+    touched = [r["d"] for r in days.distinct().collect() if r["d"] is not None]
+
+    def of_days(df: DataFrame, at: str, date: str) -> DataFrame:
+        low = min(touched, default=None)
+        out = df.filter((F.col(at) >= F.lit(low).cast("timestamp")) & F.to_date(at).isin(touched))
+        return out.filter(F.col(date).isin(touched)) if date in df.columns else out
+
+    frozen = silver if high_us is None else silver.filter(F.col("decision_at") <= watermark.instant(high_us))
+    seen_rows = bronze if high_bronze is None else bronze.filter(order <= max(seen, high_bronze))
+    result = pipeline.compute(of_days(seen_rows, "ingested_at", "ingested_date"), of_days(frozen, "decision_at", "decision_date"))
+    stamped = schemas.conform(result.withColumn("aggregated_at", F.current_timestamp()), pipeline.schema)
+    tables.replace_partitions(stamped.withColumn(PART, pipeline.part()), gold_path, [PART], rebalance=True)
+    if high_bronze is not None:
+        append_mark(spark, log_path, f"{pipeline.name}:bronze", high_bronze, 0)
+    if high_us is not None:
+        append_mark(spark, log_path, pipeline.name, high_us, len(touched))
+    return RunResult(mark_us if high_us is None else high_us, len(touched))
 
 
 def append_mark(spark: SparkSession, log_path: str, name: str, mark_us: int, rows: int) -> None:

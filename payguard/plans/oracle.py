@@ -359,5 +359,9 @@ select bronze_total = silver_total as counts_match,
     "latency_histogram_by_status": _histogram("dedup_status"),
     "stream_bronze": f"{BASE}, {_FAULTY} select {_BRONZE_COLUMNS} from faulty where reason is null",
     "stream_dedup": f"{BASE} select payment_id, dedup_status, original_payment_id from silver",
+    "stream_dedup_batches": _TTL,
+    "stream_dedup_stateful_batches": _TTL,
+    "stream_deadletter": f"""{BASE}, {_FAULTY} select distinct case when kind > 1 then payment_id end as payment_id,
+  reason as invalid_reason, value as raw_payload, 'silver' as layer from faulty where reason is not null""",
     "stream_dedup_stateful": f"{BASE} select payment_id, dedup_status, original_payment_id from silver",
 }

@@ -284,3 +284,30 @@ def test_key_does_not_depend_on_the_session_zone(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert key == hashlib.sha256(b"c|m|5.0000|USD|2024-03-10T06:55:00+00:00").hexdigest()
+
+
+def test_system_summary_counts_bronze_that_comes_late(spark):
+    """Bronze of a day that Silver's run has passed, and a run with news of Bronze alone."""
+    base = tempfile.mkdtemp()
+    received = "payment_id string, ingested_at timestamp, batch_id long"
+    first = [("a", at(0), 0), ("b", at(24), 0)]
+    s = silver(spark, [("a", "c", "m", S.ACCEPTED, 3, at(0)), ("b", "c", "m", S.ACCEPTED, 3, at(24))])
+
+    def run(bronze):
+        return incremental.run(incremental.SYSTEM, s, f"{base}/gold", f"{base}/marks", bronze=spark.createDataFrame(bronze, received))
+
+    assert run(first).rows == 2
+    late = [*first, ("late", at(1), 1)]
+    assert run(late).rows == 1
+    assert run(late) is None
+    got = incremental.read_gold(spark, incremental.SYSTEM, f"{base}/gold").orderBy("day_bucket").collect()
+    assert [r["total_events_received"] for r in got] == [2, 1]
+    assert [r["total_accepted"] for r in got] == [1, 1]
+
+
+@pytest.mark.parametrize("text,good", [
+    ("10.0.0.1", True), ("255.255.255.255/32", True), ("256.1.1.1", False), ("10.0.0", False), ("::1", True), ("2001:db8::ff00:42:8329", True),
+    ("1:2:3:4:5:6:7:8", True), ("1::2::3", False), ("::ffff:10.0.0.1", True), ("host", False), ("", False),
+])
+def test_addresses(spark, text, good):
+    assert spark.range(1).select(F.lit(text).rlike(validity.ADDRESS)).first()[0] == good
