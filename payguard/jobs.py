@@ -46,19 +46,24 @@ def source(spark: SparkSession, servers: str | None, files: str | None, most: in
     return messages.file_stream(spark, files, "text", most or S.MAX_FILES_PER_TRIGGER)
 
 
-def run_bronze(spark: SparkSession, root: str, stream: DataFrame, interval: str | None = None) -> None:
+def log(job: str):
+    return lambda batch_id, counts: print(f"{job} batch {batch_id}: {counts}", flush=True)
+
+
+def run_bronze(spark: SparkSession, root: str, stream: DataFrame, interval: str | None = None, publish=None) -> None:
     bronze_stream.start(
-        stream, f"{root}/bronze", f"{root}/deadletter", f"{root}/offsets/bronze", interval
+        stream, f"{root}/bronze", f"{root}/deadletter", f"{root}/offsets/bronze", interval, publish, log("bronze")
     ).awaitTermination()
 
 
 def run_dedup(
     spark: SparkSession, root: str, stream: DataFrame, interval: str | None = None,
-    ttl: int = S.TTL_SECONDS, record_invalid: bool = False,
+    ttl: int = S.TTL_SECONDS, record_invalid: bool = False, publish=None,
 ) -> None:
     dedup_stream.start(
         dedup_stream.checked_events(stream), f"{root}/silver", f"{root}/registry", f"{root}/offsets/dedup",
         ttl=ttl, interval=interval, deadletter_path=f"{root}/deadletter_silver", record_invalid=record_invalid,
+        publish=publish, report=log("dedup"),
     ).awaitTermination()
 
 
@@ -106,6 +111,7 @@ def main(argv: list[str] | None = None) -> None:
         where = p.add_mutually_exclusive_group(required=True)
         where.add_argument("--servers", help="Kafka bootstrap servers")
         where.add_argument("--files", help="folder of text files, one message per line")
+        p.add_argument("--publish", help="bootstrap servers that get decisions and dead letters as messages")
         p.add_argument("--max-per-trigger", type=int, help="messages of a topic, or files, in one batch at most")
         p.add_argument("--interval", help="trigger interval; default: take what is there and end")
         if name == "dedup":
@@ -119,11 +125,12 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"payguard-{args.job}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    publish = messages.topic_writer(args.publish) if getattr(args, "publish", None) else None
     if args.job == "bronze":
-        run_bronze(spark, args.root, source(spark, args.servers, args.files, args.max_per_trigger), args.interval)
+        run_bronze(spark, args.root, source(spark, args.servers, args.files, args.max_per_trigger), args.interval, publish)
     elif args.job == "dedup":
         run_dedup(spark, args.root, source(spark, args.servers, args.files, args.max_per_trigger), args.interval,
-                  args.ttl, args.record_invalid)
+                  args.ttl, args.record_invalid, publish)
     elif args.job == "gold":
         print(run_gold(spark, args.root, args.names, args.mode))
     else:

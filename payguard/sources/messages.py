@@ -114,6 +114,20 @@ def publish(messages: DataFrame, servers: str, topic: str, checkpoint: str | Non
     return keyed.writeStream.format("kafka").options(**options, checkpointLocation=checkpoint).start()
 
 
+def topic_writer(servers: str):
+    """For the ``publish`` of a stream: a batch of keyed messages to a topic, at least once."""
+    return lambda batch, topic: publish(batch, servers, topic)
+
+
+def folder_writer(path: str):
+    """The same into a folder for each topic, one JSON line a message; stands in for a broker."""
+
+    def write(batch: DataFrame, topic: str) -> None:
+        batch.select("key", "value").write.mode("append").json(f"{path}/{topic}")
+
+    return write
+
+
 def iso_micros(ts: str) -> Column:
     return iso_utc(ts, micros=True)
 

@@ -7,10 +7,13 @@ checkpoint and the tables agree: every message is kept once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from payguard import settings as S
 from payguard.operators import tables, validity
 from payguard.schemas import BRONZE, conform
 from payguard.sources import messages
@@ -22,9 +25,12 @@ def start(
     deadletter_path: str,
     checkpoint: str,
     interval: str | None = None,
+    publish: Callable[[DataFrame, str], None] | None = None,
+    report: Callable[[int, dict], None] | None = None,
 ) -> StreamingQuery:
     """Start the job. ``interval`` (such as ``30 seconds``) keeps it running;
-    without it the job takes what is there and ends."""
+    without it the job takes what is there and ends. ``publish`` also gets refused
+    messages for their topic; ``report`` the counters of each batch."""
     if "ingested_at" not in stream.columns:
         stream = stream.withColumn("ingested_at", F.current_timestamp())
 
@@ -38,7 +44,13 @@ def start(
                 dated = rows.withColumn("ingested_date", F.to_date("ingested_at")).withColumn(
                     "batch_id", F.lit(batch_id)
                 )
-                tables.replace_partitions(dated, path, ["ingested_date", "batch_id"])
+                tables.replace_partitions(dated, path, ["ingested_date", "batch_id"], rebalance=True)
+            if publish is not None:
+                publish(messages.encode_dead_letters(validity.dead_letters(checked)), S.TOPIC_DEADLETTER)
+            if report is not None:
+                refused = F.col("invalid_reason").isNotNull()
+                counts = checked.agg(F.count("*").alias("total_received"), F.count_if(~refused).alias("total_stored"), F.count_if(refused).alias("total_errors"))
+                report(batch_id, counts.first().asDict())
         finally:
             checked.unpersist()
 

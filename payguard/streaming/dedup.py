@@ -94,6 +94,7 @@ def start(
     interval: str | None = None,
     deadletter_path: str | None = None,
     record_invalid: bool = False,
+    publish: Callable[[DataFrame, str], None] | None = None,
     report: Callable[[int, dict], None] | None = None,
 ) -> StreamingQuery:
     """Start the job over events, or over messages such as ``checked_events`` gives.
@@ -102,7 +103,9 @@ def start(
     layer that refused them; with ``record_invalid`` those that can be named become
     decisions with status invalid as well. Silver keeps the first decision of a
     payment_id, against the payment_id column of the whole history. ``report`` receives
-    the counters of each finished batch (``registry.decision_counts``).
+    the counters of each finished batch (``registry.decision_counts``). ``publish``
+    (``messages.topic_writer``) also gets new decisions and refused messages as keyed
+    messages with the name of their topic, at least once.
     """
     if "invalid_reason" in stream.columns and deadletter_path is None:
         raise ValueError("checked messages need a deadletter_path")
@@ -111,6 +114,8 @@ def start(
         rows = validity.dead_letters(batch).withColumn("layer", F.lit("silver"))
         dated = rows.withColumn("ingested_date", F.to_date("ingested_at")).withColumn("batch_id", F.lit(batch_id))
         tables.replace_partitions(dated, deadletter_path, ["ingested_date", "batch_id"])
+        if publish is not None:
+            publish(messages.encode_dead_letters(rows), S.TOPIC_DEADLETTER)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         checked = batch.persist() if "invalid_reason" in batch.columns else None
@@ -150,6 +155,9 @@ def start(
         record = conform(dedup.silver_records(new), SILVER)
         dated = record.withColumn("decision_date", F.to_date("decision_at")).withColumn("batch_id", F.lit(batch_id))
         tables.replace_partitions(dated, silver_path, ["decision_date", "batch_id"])
+        if publish is not None:
+            own = spark.read.schema(dated.schema).parquet(silver_path).filter(F.col("batch_id") == batch_id)
+            publish(messages.encode_decisions(own.select(*SILVER.fieldNames())), S.TOPIC_DECISIONS)
         if report is not None:
             report(batch_id, registry.decision_counts(decided).first().asDict())
         return decided

@@ -142,7 +142,11 @@ def test_bronze_stream_splits_good_and_bad(spark):
     with open(f"{base}/in/1.txt", "w") as f:
         f.write("\n".join([GOOD % "a", '{"broken', GOOD % "b", GOOD % "a"]) + "\n")
     stream = messages.file_stream(spark, f"{base}/in", "text")
-    bronze_stream.start(stream, f"{base}/bronze", f"{base}/dead", f"{base}/offsets").awaitTermination()
+    counts = {}
+    bronze_stream.start(
+        stream, f"{base}/bronze", f"{base}/dead", f"{base}/offsets", report=counts.__setitem__
+    ).awaitTermination()
+    assert counts == {0: {"total_received": 4, "total_stored": 3, "total_errors": 1}}
     # redelivered messages stay in Bronze, which is the audit trail
     assert sorted(r["payment_id"] for r in spark.read.parquet(f"{base}/bronze").collect()) == ["a", "a", "b"]
     assert [r["raw_payload"] for r in spark.read.parquet(f"{base}/dead").collect()] == ['{"broken']
@@ -208,7 +212,11 @@ def test_what_only_the_decision_refuses_is_a_dead_letter(spark, invalid):
     dedup_stream.start(
         dedup_stream.checked_events(messages_in), f"{base}/silver", f"{base}/registry", f"{base}/offsets",
         deadletter_path=f"{base}/dead", record_invalid=invalid, report=counts.__setitem__,
+        publish=messages.folder_writer(f"{base}/topics"),
     ).awaitTermination()
+    sent = {t: spark.read.json(f"{base}/topics/{t}").collect() for t in ("payments.decisions", "payments.deadletter")}
+    assert sorted(json.loads(r["value"])["payment_id"] for r in sent["payments.decisions"]) == ["a", "long"][: 1 + invalid]
+    assert len(sent["payments.deadletter"]) == 2
     dead = spark.read.parquet(f"{base}/dead")
     assert {(r["payment_id"], r["layer"]) for r in dead.collect()} == {("long", "silver"), (None, "silver")}
     silver = {r["payment_id"]: r["dedup_status"] for r in spark.read.parquet(f"{base}/silver").collect()}
