@@ -155,8 +155,9 @@ def _slice(at: Column, ttl: int) -> Column:
     return F.floor(F.unix_micros(at) / F.lit(ttl * 1_000_000)).cast("bigint")
 
 
-def _hot_epochs(rows: DataFrame, key: str, ttl: int, hot_keys: int) -> tuple[DataFrame, list[int]]:
-    """Acceptances of hot keys from partial aggregates, and the slices there are.
+def _hot_epochs(rows: DataFrame, key: str, ttl: int, hot_keys: int) -> tuple[DataFrame, DataFrame, int]:
+    """Acceptances of hot keys from partial aggregates, the slices each key has rows in, and
+    how many slices there are.
 
     Two acceptances of a key are at least one time to live apart, so a slice of
     that length holds at most one per key. Key and arrival of the hot rows are
@@ -183,7 +184,7 @@ def _hot_epochs(rows: DataFrame, key: str, ttl: int, hot_keys: int) -> tuple[Dat
         else:
             state = _advance(state, now, key, ttl, hot_keys)
         state = cut(state)
-    return state, slices
+    return state, stored.select(key, "_slice").distinct(), len(slices)
 
 
 def _advance(state: DataFrame, now: DataFrame, key: str, ttl: int, hot_keys: int) -> DataFrame:
@@ -207,16 +208,14 @@ def _by_slices(rows: DataFrame, key: str, ttl: int, hot_keys: int) -> DataFrame:
     one before. They are laid out per key and slice, so the join is a plain
     equality and the choice a single comparison.
     """
-    epochs, slices = _hot_epochs(rows, key, ttl, hot_keys)
+    epochs, own_slices, n_slices = _hot_epochs(rows, key, ttl, hot_keys)
     arrival, own = _arrival(rows), F.col("_slice")
     prior = (lambda e: e[_PRIOR] == 0) if _PRIOR in rows.columns else (lambda e: F.lit(False))
 
     def earlier(e: Column) -> Column:
         return prior(e) | (_slice(e["ingested_at"], ttl) < own)
 
-    laid_out = epochs.select(
-        key, "_epochs", F.explode(F.array(*map(F.lit, slices)).cast("array<bigint>")).alias("_slice")
-    ).select(
+    laid_out = own_slices.join(epochs, key).select(
         key, "_slice",
         F.try_element_at(F.filter("_epochs", earlier), F.lit(-1)).alias("_before"),
         F.try_element_at(
@@ -224,7 +223,7 @@ def _by_slices(rows: DataFrame, key: str, ttl: int, hot_keys: int) -> DataFrame:
         ).alias("_within"),
     )
     met = rows.withColumn("_slice", _slice(F.col("ingested_at"), ttl)).join(
-        _small(laid_out, hot_keys * len(slices)), [key, "_slice"]
+        _small(laid_out, hot_keys * n_slices), [key, "_slice"]
     )
     holder = F.when(arrival >= F.col("_within"), F.col("_within")).otherwise(F.col("_before"))
     return met.withColumn("_epoch", holder).select(

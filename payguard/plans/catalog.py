@@ -328,8 +328,8 @@ def recon_confusion(spark, d):
     return recon.detection_accuracy(bronze(spark, d, edge=True), silver(spark, d, edge=True))
 
 
-def _matrix(spark, d, edge=True):
-    return recon.confusion_matrix(bronze(spark, d, edge), silver(spark, d, edge))
+def _matrix(spark, d):
+    return recon.confusion_matrix(bronze(spark, d, edge=True), silver(spark, d, edge=True))
 
 
 def recon_confusion_matrix(spark, d):
@@ -365,9 +365,9 @@ def recon_summary(spark, d):
 
 
 def recon_verdicts(spark, d):
-    s = silver(spark, d)
-    total = recon.summary(bronze(spark, d), s, gold.customer_daily(s))
-    return recon.verdicts(total, _matrix(spark, d, edge=False))
+    b, s = bronze(spark, d), silver(spark, d)  # one decision, which the plan's parts share
+    total = recon.summary(b, s, gold.customer_daily(s))
+    return recon.verdicts(total, recon.confusion_matrix(b, s))
 
 
 def latency_histogram(spark, d):
