@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 
 import numpy as np
@@ -34,12 +35,31 @@ def n_words(column: str | Column) -> Column:
     return F.regexp_count(text_of(column), F.lit(WORD)).cast("long")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, *over: DataFrame) -> DataFrame:
     """The frame written below the cluster's shared folder and read again: its lineage is cut
-    and a lost executor costs a read, not the work."""
-    path = run_dir(df.sparkSession, label)
+    and a lost executor costs a read, not the work. Tables in ``over``, which nothing needs any
+    more once this one is written, are deleted."""
+    spark = df.sparkSession
+    path = run_dir(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for old in over:
+        _delete(spark, old.stored_at)
+    free_shuffles(spark)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of a job that is over when the driver collects its
+    garbage, which a small driver may do after many jobs only; this asks for it now."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def merge_spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

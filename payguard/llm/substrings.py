@@ -12,7 +12,6 @@ documents hold is a few rows a task.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,17 +19,23 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payguard.llm.anchors import anchors, keyed, repeated_anchors
-from payguard.llm.common import NULL_ID, documents, merge_spans, n_words, stored, text_of
+from payguard.llm.anchors import Units, distinct_blocks, keyed, repeated_blocks, with_contents
+from payguard.llm.common import NULL_ID, documents, merge_spans, stored
 
 WINDOW, SEED = 35, 8
 
 
-def word_numbers(text: str) -> np.ndarray:
-    import xxhash
+class Words(Units):
+    def split(self, text: str) -> list[bytes]:
+        return text.encode().split()  # at space and the controls 9 to 13
 
-    words = text.encode().split()
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    def numbers(self, parts: list[bytes]) -> np.ndarray:
+        import xxhash
+
+        return np.fromiter(map(xxhash.xxh64_intdigest, parts), np.uint64, len(parts))
+
+    def stretch(self, parts: list[bytes], a: int, b: int) -> bytes:
+        return b" ".join(parts[a:b])
 
 
 def levels(window: int, seed: int) -> list[int]:
@@ -40,40 +45,18 @@ def levels(window: int, seed: int) -> list[int]:
     return [n for n in out if n < window] + [window]
 
 
-def _blocks(rows: DataFrame, hits: DataFrame, window: int, seed: int) -> DataFrame:
-    """Blocks around repeated anchors: ``anchor, h, id, v, start, at, n_windows, block`` (its words, one space apart)."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
-
-        for frame in frames:
-            out = []
-            for i, v, text, wanted in frame[["id", "v", "text", "anchors"]].itertuples(index=False):
-                words = text.encode().split()
-                h, place, first, last = anchors(word_numbers(text), seed, window)
-                for j in np.flatnonzero(np.isin(h.view(np.int64), np.asarray(wanted, np.int64))):
-                    a, b = int(first[j]), int(last[j]) + window
-                    block = b" ".join(words[a:b])
-                    out.append((int(h[j].view(np.int64)), xxhash.xxh64_intdigest(block, 1) - (1 << 63), i, v, a, int(place[j]) - a, b - a - window + 1, block.decode()))
-            if out:
-                yield pd.DataFrame(out, columns=["anchor", "h", "id", "v", "start", "at", "n_windows", "block"])
-
-    schema = "anchor long, h long, id long, v long, start int, at int, n_windows int, block string"
-    return rows.join(hits, ["id", "v"]).mapInPandas(run, schema)
-
-
 def repeated_windows(rows: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """Word spans ``id, v, a, b`` that are covered by repeated windows; their union is what to remove."""
-    hits = repeated_anchors(rows, word_numbers, seed, window, "word-anchors")
-    blocks = stored(_blocks(rows, hits, window, seed), "word-blocks")
-    alike = stored(blocks.groupBy("anchor", "h").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "v", "start", "at", "n_windows", "block")).alias("x")), "word-alike")
+    units = Words()
+    blocks = repeated_blocks(rows, units, seed, window, "words")
+    alike = distinct_blocks(blocks, "words-distinct")
     whole = blocks.join(alike.where("n > 1").select("anchor", "h"), ["anchor", "h"]).select(
-        "id", "v", F.col("start").alias("a"), (F.col("start") + F.col("n_windows") + window - 1).alias("b"))
+        "id", "v", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
     # blocks that share an anchor but are not equal climb the levels, each standing for its copies
     several = alike.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("fewest")).where("m > 1 AND fewest = 1").select("anchor")
-    live = alike.join(several, "anchor").select(
-        "n", "x.id", "x.v", "x.start", "x.at", F.split("x.block", " ").alias("words"), F.lit(0).alias("o1"), (F.col("x.n_windows") - 1).alias("o2"))
+    live = stored(with_contents(rows, alike.join(several, "anchor"), units, seed, window), "words-0")
+    live = live.select("n", "id", "v", "start", "at", F.split(F.col("block").cast("string"), " ").alias("words"),
+                       F.lit(0).alias("o1"), (F.col("size") - window).alias("o2"))
     for length in levels(window, seed):
         live = stored(_climb(live, length, window, seed), f"words-{length}")
     single = live.where("n = 1").select("id", "v", (F.col("start") + F.col("o1")).alias("a"), (F.col("start") + F.col("o2") + window).alias("b"))

@@ -5,7 +5,8 @@ windows meet in one shard whatever documents they come from; windows whose ancho
 need no look. Equal blocks are aggregated first: all their occurrences but the first are
 repeats. The distinct blocks that share an anchor are laid end to end in shards of bounded
 size; each shard's suffix array is sorted by induction, the permuted common prefixes give runs
-of suffixes that share 100 bytes, and of each run all but the earliest are repeats.
+of suffixes that share 100 bytes, and of each run all but the earliest are repeats. A block
+without another that has the same anchor and the same bytes on one side of it is left out.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payguard.llm.anchors import anchors, keyed, repeated_anchors
+from payguard.llm.anchors import Units, distinct_blocks, keyed, repeated_blocks, with_company, with_contents
 from payguard.llm.common import NULL_ID, documents, merge_spans, stored
 
 WINDOW, SEED = 100, 16
@@ -177,28 +178,15 @@ def repeats_in_shard(blocks: list[bytes], key: np.ndarray, window: int) -> tuple
     return owner[late[first]], offset[late[first]], offset[late[last]]
 
 
-def _units(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode(), np.uint8).astype(np.uint64)
+class Bytes(Units):
+    def split(self, text: str) -> bytes:
+        return text.encode()
 
+    def numbers(self, parts: bytes) -> np.ndarray:
+        return np.frombuffer(parts, np.uint8).astype(np.uint64)
 
-def _blocks(rows: DataFrame, hits: DataFrame, window: int, seed: int) -> DataFrame:
-    """Blocks around repeated anchors: ``anchor, h, id, v, start, block``."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
-
-        for frame in frames:
-            out = []
-            for i, v, text, wanted in frame[["id", "v", "text", "anchors"]].itertuples(index=False):
-                data = text.encode()
-                h, _, first, last = anchors(_units(text), seed, window)
-                for j in np.flatnonzero(np.isin(h.view(np.int64), np.asarray(wanted, np.int64))):
-                    block = data[int(first[j]) : int(last[j]) + window]
-                    out.append((int(h[j].view(np.int64)), xxhash.xxh64_intdigest(block, 1) - (1 << 63), i, v, int(first[j]), block))
-            if out:
-                yield pd.DataFrame(out, columns=["anchor", "h", "id", "v", "start", "block"])
-
-    return rows.join(hits, ["id", "v"]).mapInPandas(run, "anchor long, h long, id long, v long, start long, block binary")
+    def stretch(self, parts: bytes, a: int, b: int) -> bytes:
+        return parts[a:b]
 
 
 def _sorted_shards(blocks: DataFrame, window: int, shards: int) -> DataFrame:
@@ -228,20 +216,18 @@ def _hashed_windows(blocks: DataFrame, window: int) -> DataFrame:
 
 def repeated_spans(rows: DataFrame, window: int = WINDOW, seed: int = SEED, hot: int = HOT_BLOCKS) -> DataFrame:
     """Byte spans ``id, v, a, b`` covered by windows that also start earlier; their union is what to remove."""
-    hits = repeated_anchors(rows, _units, seed, window, "byte-anchors")
-    blocks = stored(_blocks(rows, hits, window, seed), "byte-blocks")
-    first = blocks.groupBy("anchor", "h").agg(
-        F.min(F.struct("id", "v", "start", "block")).alias("x"), F.count(F.lit(1)).alias("n"))
-    first = stored(first.select("anchor", "h", "n", "x.*"), "byte-first")
-    again = blocks.alias("b").join(first.where("n > 1").select(
-        "anchor", "h", F.struct("id", "v", "start").alias("x")), ["anchor", "h"]).where(F.struct("id", "v", "start") > F.col("x"))
-    again = again.select("id", "v", F.col("start").alias("a"), (F.col("start") + F.octet_length("block")).alias("b"))
-    several = stored(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.sum(F.octet_length("block")).alias("size")).where("m > 1"), "byte-shared")
-    size = several.where(F.col("m") <= hot).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    units = Bytes()
+    blocks = repeated_blocks(rows, units, seed, window, "bytes")
+    first = distinct_blocks(blocks, "bytes-distinct")
+    again = blocks.join(first.where("n > 1").select("anchor", "h", F.struct("id", "v", "start").alias("x")), ["anchor", "h"])
+    again = again.where(F.struct("id", "v", "start") > F.col("x")).select("id", "v", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
+    several = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    near = stored(with_contents(rows, first.join(several, "anchor").select("anchor", "id", "v", "start", "at", "size", "m"), units, seed, window), "bytes-near")
+    near = stored(with_company(near).select("anchor", "id", "v", "start", "block", "m"), "bytes-company", near)
+    cool, warm = near.where(F.col("m") <= hot), near.where(F.col("m") > hot)
+    size = cool.agg(F.coalesce(F.sum(F.octet_length("block")), F.lit(0))).first()[0]
     shards = max(1, -(-size // SHARD_BYTES))
-    cool = first.join(several.where(F.col("m") <= hot).select("anchor"), "anchor")
-    warm = first.join(several.where(F.col("m") > hot).select("anchor"), "anchor")
-    return again.unionByName(_sorted_shards(cool.select("anchor", "id", "v", "start", "block"), window, shards)).unionByName(_hashed_windows(warm, window))
+    return again.unionByName(_sorted_shards(cool, window, shards)).unionByName(_hashed_windows(warm, window))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
