@@ -17,4 +17,4 @@ QUERIES = {
     "op10_suffix_arrays": suffixes.op10_suffix_arrays,
 }
 
-SQL = {"op3_mixing": mixing.SQL}
+SQL = {"op3_mixing": mixing.SQL, "op6_substrings": substrings.SQL}

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payguard.llm.anchors import Units, distinct_blocks, keyed, repeated_blocks, with_contents
+from payguard.llm.anchors import Units, by_document, distinct_blocks, keyed, repeated_blocks, with_contents
 from payguard.llm.common import NULL_ID, documents, merge_spans, stored
 
 WINDOW, SEED = 35, 8
@@ -46,7 +46,8 @@ def levels(window: int, seed: int) -> list[int]:
 
 
 def repeated_windows(rows: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """Word spans ``id, v, a, b`` that are covered by repeated windows; their union is what to remove."""
+    """``id, v, spans``: the word spans ``a, b`` of each document that are covered by repeated windows;
+    their union is what to remove."""
     units = Words()
     blocks = repeated_blocks(rows, units, seed, window, "words")
     alike = distinct_blocks(blocks, "words-distinct")
@@ -55,12 +56,13 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     # blocks that share an anchor but are not equal climb the levels, each standing for its copies
     several = alike.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("fewest")).where("m > 1 AND fewest = 1").select("anchor")
     live = stored(with_contents(rows, alike.join(several, "anchor"), units, seed, window), "words-0")
+    last = live
     live = live.select("n", "id", "v", "start", "at", F.split(F.col("block").cast("string"), " ").alias("words"),
                        F.lit(0).alias("o1"), (F.col("size") - window).alias("o2"))
     for length in levels(window, seed):
-        live = stored(_climb(live, length, window, seed), f"words-{length}")
+        live = last = stored(_climb(live, length, window, seed), f"words-{length}", last)
     single = live.where("n = 1").select("id", "v", (F.col("start") + F.col("o1")).alias("a"), (F.col("start") + F.col("o2") + window).alias("b"))
-    return whole.unionByName(single)
+    return stored(by_document(whole.unionByName(single)), "words-spans", blocks, alike, last)
 
 
 def _climb(live: DataFrame, length: int, window: int, seed: int) -> DataFrame:
@@ -85,10 +87,6 @@ def _climb(live: DataFrame, length: int, window: int, seed: int) -> DataFrame:
     return rows.join(often, "k").drop("k")
 
 
-def spans_by_document(spans: DataFrame) -> DataFrame:
-    return spans.groupBy("id", "v").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-
-
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """``doc_id, n_words, n_removed, kept``: each row's words outside repeated windows, one space apart.
 
@@ -97,7 +95,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and do not repeat each other. Other columns are ignored; an empty table gives an empty result.
     """
     rows = keyed(docs, id_col, text_col)
-    found = spans_by_document(repeated_windows(rows, window, seed))
+    found = repeated_windows(rows, window, seed)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -119,3 +117,21 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+t AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+h AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+r AS (SELECT doc_id, i FROM h WHERE h IN (SELECT h FROM h GROUP BY h HAVING count(*) > 1)),
+c AS (SELECT DISTINCT doc_id, i + k AS j FROM (SELECT doc_id, i, unnest(range(0, 35)) AS k FROM r)),
+k AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS kept
+  FROM t ANTI JOIN c USING (doc_id, j) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""

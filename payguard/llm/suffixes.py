@@ -18,13 +18,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payguard.llm.anchors import Units, distinct_blocks, keyed, repeated_blocks, with_company, with_contents
+from payguard.llm.anchors import Units, by_document, distinct_blocks, keyed, repeated_blocks, with_company, with_contents
 from payguard.llm.common import NULL_ID, documents, merge_spans, stored
 
 WINDOW, SEED = 100, 16
 # Bytes a shard should hold, and the distinct blocks of one anchor above which its windows are
 # compared by 128-bit hashes in an aggregate, window by window, as no shard could hold them.
-SHARD_BYTES, HOT_BLOCKS = 4_000_000, 20_000
+SHARD_BYTES, HOT_BLOCKS = 1_000_000, 5_000
 
 
 def _types(t: np.ndarray) -> np.ndarray:
@@ -215,7 +215,8 @@ def _hashed_windows(blocks: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_spans(rows: DataFrame, window: int = WINDOW, seed: int = SEED, hot: int = HOT_BLOCKS) -> DataFrame:
-    """Byte spans ``id, v, a, b`` covered by windows that also start earlier; their union is what to remove."""
+    """``id, v, spans``: the byte spans ``a, b`` of each document that are covered by windows that
+    also start earlier; their union is what to remove."""
     units = Bytes()
     blocks = repeated_blocks(rows, units, seed, window, "bytes")
     first = distinct_blocks(blocks, "bytes-distinct")
@@ -227,7 +228,8 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, seed: int = SEED, hot:
     cool, warm = near.where(F.col("m") <= hot), near.where(F.col("m") > hot)
     size = cool.agg(F.coalesce(F.sum(F.octet_length("block")), F.lit(0))).first()[0]
     shards = max(1, -(-size // SHARD_BYTES))
-    return again.unionByName(_sorted_shards(cool, window, shards)).unionByName(_hashed_windows(warm, window))
+    spans = again.unionByName(_sorted_shards(cool, window, shards)).unionByName(_hashed_windows(warm, window))
+    return stored(by_document(spans), "bytes-spans", blocks, first, near)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -246,8 +248,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _with_spans(rows: DataFrame, window: int, seed: int, hot: int) -> DataFrame:
-    spans = repeated_spans(rows.select("id", "v", "text"), window, seed, hot)
-    return rows.join(spans.groupBy("id", "v").agg(F.collect_list(F.struct("a", "b")).alias("spans")), ["id", "v"], "left")
+    return rows.join(repeated_spans(rows.select("id", "v", "text"), window, seed, hot), ["id", "v"], "left")
 
 
 def without_spans(data: bytes, spans) -> tuple[bytes, int, int]:
