@@ -22,6 +22,8 @@ from payguard.llm.common import documents, n_words, stored
 WEIGHTS = (5, 2, 1)
 MOST = 3
 BITS, LEVELS = 12, 5
+# A table of sources up to this size (some 50 bytes a row) may be broadcast; a larger one is joined by shuffle.
+BROADCAST_SOURCES = 100_000
 
 
 def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, most: int = MOST) -> list[dict]:
@@ -67,12 +69,17 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     for level in range(LEVELS):
         wanted = _narrow(rows, wanted, level)
     out = [(r["source"], r["size"], r["target"], r["passes"], below) for r, (_, below, _) in zip(recipe, wanted, strict=True)]
-    return spark.createDataFrame(out, "s string, source_size long, target double, passes int, below long")
+    return _table(spark, out, "s string, source_size long, target double, passes int, below long")
+
+
+def _table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= BROADCAST_SOURCES else df
 
 
 def with_copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", source_col: str = "source", most: int = MOST) -> DataFrame:
     """The rows with the columns of their source's ``plan`` and ``copies``; nothing is shuffled."""
-    rows = docs.join(F.broadcast(mixed), F.col(source_col).cast("string").eqNullSafe(F.col("s")))
+    rows = docs.join(mixed, F.col(source_col).cast("string").eqNullSafe(F.col("s")))
     return rows.withColumn("copies", F.least(F.lit(most), F.col("passes") + (_hash(id_col) < F.col("below")).cast("int")))
 
 
@@ -98,8 +105,8 @@ def _narrow(rows: DataFrame, wanted: list, level: int) -> list:
     At the last level a bucket is one hash; the threshold passes it if its half fits.
     """
     spark, shift = rows.sparkSession, BITS * (LEVELS - 1 - level)
-    bound = spark.createDataFrame(wanted, "s string, low long, rest double")
-    inside = rows.join(F.broadcast(bound), F.col("source").eqNullSafe(F.col("s")))
+    bound = _table(spark, wanted, "s string, low long, rest double")
+    inside = rows.join(bound, F.col("source").eqNullSafe(F.col("s")))
     if level:
         inside = inside.where(F.shiftright("h", shift + BITS) == F.shiftright("low", shift + BITS))
     histogram = inside.groupBy("source", "low", "rest", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("n"))
