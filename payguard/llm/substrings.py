@@ -57,7 +57,7 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     several = alike.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("fewest")).where("m > 1 AND fewest = 1").select("anchor")
     live = stored(with_contents(rows, alike.join(several, "anchor"), units, seed, window), "words-0")
     last = live
-    live = live.select("n", "id", "v", "start", "at", F.split(F.col("block").cast("string"), " ").alias("words"),
+    live = live.select("n", "id", "v", "start", "at", F.col("block").cast("string").alias("block"),
                        F.lit(0).alias("o1"), (F.col("size") - window).alias("o2"))
     for length in levels(window, seed):
         live = last = stored(_climb(live, length, window, seed), f"words-{length}", last)
@@ -80,9 +80,10 @@ def _climb(live: DataFrame, length: int, window: int, seed: int) -> DataFrame:
         F.lit(back).alias("back"),
         F.greatest(F.col("o1"), F.col("at") - max(q)).alias("o1"),
         F.least(F.col("o2"), F.col("at") - min(q)).alias("o2")) for back, q in runs.items()])
-    rows = live.withColumn("p", F.explode(F.filter(parts, lambda p: p["o1"] <= p["o2"])))
+    rows = live.withColumn("words", F.split("block", " ")).withColumn("p", F.explode(F.filter(parts, lambda p: p["o1"] <= p["o2"])))
     run = F.array_join(F.slice("words", F.col("at") - F.col("p.back") + 1, length), " ")
-    rows = rows.select("n", "id", "v", "start", "at", "words", "p.o1", "p.o2", F.struct(F.col("p.back"), F.md5(run.cast("binary"))).alias("k"))
+    above = ["at", "block"] if length < window else []  # what a further level needs
+    rows = rows.select("n", "id", "v", "start", *above, "p.o1", "p.o2", F.struct(F.col("p.back"), F.md5(run.cast("binary"))).alias("k"))
     often = rows.groupBy("k").agg(F.sum("n").alias("total")).where("total > 1").select("k")
     return rows.join(often, "k").drop("k")
 
@@ -91,8 +92,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``doc_id, n_words, n_removed, kept``: each row's words outside repeated windows, one space apart.
 
     A window is repeated if its words also start anywhere else; every occurrence goes, judged on
-    the input. Null and empty texts have no words. Rows that repeat id and text are one document
-    and do not repeat each other. Other columns are ignored; an empty table gives an empty result.
+    the input. Null and empty texts have no words. Repeated rows are documents of their own, so
+    each repeats the other. Other columns are ignored; an empty table gives an empty result.
     """
     rows = keyed(docs, id_col, text_col)
     found = repeated_windows(rows, window, seed)
