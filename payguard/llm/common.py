@@ -21,6 +21,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def whole_id(column: str) -> Column:
+    """The id for pandas, which would make a long column with nulls one of floats: null is the
+    least number there. ``null_id`` turns it back."""
+    return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
+
+
+def null_id(column: str) -> Column:
+    return F.when(F.col(column) != NULL_ID, F.col(column)).alias(column)
+
+
 def text_of(column: str | Column) -> Column:
     """The text, a null one being empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

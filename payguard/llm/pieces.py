@@ -25,14 +25,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from payguard.llm.common import documents
+from payguard.llm.common import documents, null_id, whole_id
 
 SPACE = "▁"
 # Fixed values of the model format: piece types, and the fields of the normaliser.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE = 1_000_000  # stretches a worker keeps; longer ones than LONG are not kept
+CACHE = 250_000  # stretches a worker keeps, some 60 MB; longer ones than LONG are not kept
 LONG = 64
+ROWS = 256  # documents encoded before their results are handed on
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -304,11 +306,14 @@ def _per_row(docs: DataFrame, model_path: str, id_col: str, text_col: str, schem
         model = model_of(data)
         begin, end = struct.pack("<I", model.bos), struct.pack("<I", model.eos)
         for frame in frames:
-            ids = [begin + model.encode(t or "") + end for t in frame["t"]]
-            text = [model.decode(array.array("I", x)) for x in ids]
-            yield pd.DataFrame({"doc_id": frame["i"]} | columns(ids, text))
-
-    return docs.selectExpr(f"`{id_col}` AS i", f"`{text_col}` AS t").mapInPandas(run, schema)
+            for at in range(0, len(frame), ROWS):
+                part = frame.iloc[at : at + ROWS]
+                ids = [begin + model.encode(t or "") + end for t in part["t"]]
+                text = [model.decode(array.array("I", x)) for x in ids]
+                yield pd.DataFrame({"doc_id": part["i"].to_numpy()} | columns(ids, text))
+
+    out = docs.select(whole_id(id_col).alias("i"), F.col(text_col).alias("t")).mapInPandas(run, schema)
+    return out.select(null_id("doc_id"), *out.columns[1:])
 
 
 def model_path() -> str:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payguard.llm.common import documents, stored
+from payguard.llm.common import documents, null_id, stored, whole_id
 from payguard.llm.components import components
 from payguard.session import cut
 
@@ -59,7 +59,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = np.array([fingerprint(t, shingle) for t in frame["t"]], np.uint64)
             yield pd.DataFrame({"doc_id": frame["i"], "fp": fp.view(np.int64)})
 
-    return docs.selectExpr(f"`{id_col}` AS i", f"`{text_col}` AS t").mapInPandas(run, "doc_id long, fp long")
+    rows = docs.select(whole_id(id_col).alias("i"), F.col(text_col).alias("t"))
+    return rows.mapInPandas(run, "doc_id long, fp long").select(null_id("doc_id"), "fp")
 
 
 def masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
