@@ -32,20 +32,28 @@ BITS, RADIUS, SHINGLE = 64, 4, 4
 BLOCK = 8_192
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """SimHash of the text's word shingles as an unsigned number; 0 without words."""
+def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The 64-bit hashes of the text's word shingles in order; a text of fewer words is one, none without words."""
     import xxhash
 
     words = (text or "").encode().translate(LOWER).split()  # splits at space and controls 9 to 13
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     n = max(1, len(words) - shingle + 1)
     starts = np.r_[0, ends[: n - 1] + 1].tolist()
     ends = ends[len(words) - n :].tolist()
     h = xxhash.xxh64_intdigest
-    hashes = np.array([h(joined[a:b], SEED) for a, b in zip(starts, ends, strict=True)], np.uint64)
+    return np.array([h(joined[a:b], SEED) for a, b in zip(starts, ends, strict=True)], np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """SimHash of the text's word shingles as an unsigned number; 0 without words."""
+    hashes = shingles(text, shingle)
+    n = len(hashes)
+    if not n:
+        return 0
     bits = np.unpackbits(hashes.view(np.uint8).reshape(n, 8), axis=1, bitorder="little")
     ones = bits.sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
