@@ -245,6 +245,18 @@ def predict(docs: DataFrame, model: ByteGru | None, text_col: str = "text") -> D
     return docs.select(*[F.col(f"`{f.name}`") for f in keep]).mapInArrow(run, schema)
 
 
+def lettered(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows whose text has a letter; a null text has none."""
+
+    def run(frames: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in frames:
+            yield batch.filter(pa.array([bool(t and _LETTER.search(t)) for t in batch.column(text_col).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = predict(docs.select("doc_id", text_of("text").alias("text")), train(docs))
