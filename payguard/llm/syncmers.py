@@ -7,13 +7,14 @@ matching positions. The fingerprint holds the 128 least anchor hashes of the who
 likeness of two fingerprints estimates the share of anchors in common among those in either.
 
 All of it is column expressions. The query needs each document's successor by descending id:
-rows are cut into id ranges by quantiles, the first row of the next range is added to each as
-its end, and one window per range reads the successor; texts are shuffled once.
+rows are cut into id ranges by quantiles, and those of an id that takes up several of them once
+more by length and text; the first row of the next range is added to each as its end, and one window per range reads the successor; texts are shuffled once.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -68,34 +69,66 @@ def likeness(a: str, b: str) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(common / F.greatest(F.size(least), F.lit(1)))
 
 
+def _subkey() -> Column:
+    """Orders the rows of one id like length and text, as far as the text's first four bytes tell."""
+    first = F.conv(F.rpad(F.hex(F.substring(F.col("text").cast("binary"), 1, 4)), 8, "0"), 16, 10).cast("long")
+    return F.char_length("text").cast("long") * (1 << 32) + first
+
+
+def _parted(docs: DataFrame, bounds: list[int], accuracy: int) -> DataFrame:
+    """Adds ``sub`` and ``subkey``: rows of an id that takes up several quantiles are cut once more, by length and text.
+
+    Parts descend with their number; other ids of the range are above its repeated one and have part -1.
+    Rows of one id that agree in length and first four bytes stay together.
+    """
+    parts: dict[int, list[int]] = {}  # ids by their number of quantiles, up to a power of two
+    for i, n in Counter(bounds).items():
+        if n > 1:
+            parts.setdefault(1 << n.bit_length(), []).append(i)
+    if not parts:
+        return docs.withColumns({"sub": F.lit(-1), "subkey": F.lit(0).cast("long")})
+    spark, table = docs.sparkSession, []
+    for n, ids in parts.items():  # at most 16; together they collect some four times as many cuts as there are bounds
+        rows = docs.join(F.broadcast(spark.createDataFrame([(i,) for i in ids], "id long")), "id")
+        cuts = rows.groupBy("id").agg(F.percentile_approx(_subkey(), [i / n for i in range(1, n)], accuracy).alias("cuts"))
+        table += [(r["id"], sorted(set(r["cuts"]))) for r in cuts.collect()]
+    joined = docs.join(F.broadcast(spark.createDataFrame(table, "id long, cuts array<long>")), "id", "left")
+    keyed = joined.withColumn("subkey", F.when(F.col("cuts").isNull(), F.lit(0).cast("long")).otherwise(_subkey()))
+    above = F.size(F.filter("cuts", lambda x: x > F.col("subkey")))
+    return keyed.withColumn("sub", F.when(F.col("cuts").isNull(), -1).otherwise(above)).drop("cuts")
+
+
 def _ranged(docs: DataFrame) -> DataFrame:
-    """Rows ``(id, text)`` with their id range, and each range's end: the next range's first row.
+    """Rows ``(id, text)`` with their range ``range, sub``, and each range's end: the next range's first row.
 
-    Ranges descend with their number. The bounds are at most 65,535 numbers.
+    Ranges descend with their numbers. The bounds are at most 65,535 numbers, those of parts some four times as many.
     """
     rows = docs.count()
     ranges = min(MOST_RANGES, rows // RANGE_ROWS + 1)
     if ranges == 1:
-        with_range = docs.withColumn("range", F.lit(0))
+        with_range = docs.withColumns({"range": F.lit(0), "sub": F.lit(-1), "subkey": F.lit(0).cast("long")})
     else:
-        quantiles = [i / ranges for i in range(1, ranges)]
-        bounds = sorted(set(docs.agg(F.percentile_approx("id", quantiles, max(10_000, 10 * ranges))).first()[0]))
+        quantiles, accuracy = [i / ranges for i in range(1, ranges)], max(10_000, 10 * ranges)
+        found = docs.agg(F.percentile_approx("id", quantiles, accuracy)).first()[0]
+        bounds = sorted(set(found))
         width = math.isqrt(len(bounds)) + 1
         many, coarse = F.lit(bounds), F.lit(bounds[::width])
         part = F.size(F.filter(coarse, lambda x: x <= F.col("id")))
         inside = F.slice(many, F.greatest(part - 1, F.lit(0)) * width + 1, width)
         below = F.when(part == 0, 0).otherwise((part - 1) * width + F.size(F.filter(inside, lambda x: x <= F.col("id"))))
-        with_range = docs.withColumn("range", (F.lit(len(bounds)) - below).cast("int"))
-    firsts = with_range.groupBy("range").agg(F.max("id").alias("id")).orderBy("range").collect()  # a row a range
+        with_range = _parted(docs, sorted(found), accuracy).withColumn("range", (F.lit(len(bounds)) - below).cast("int"))
+    place = ["range", "sub"]
+    firsts = with_range.groupBy(*place).agg(F.max(F.struct("id", "subkey")).alias("x")).orderBy(*place).collect()  # a row a range
     if not firsts:
-        return with_range.withColumn("end", F.lit(0))
+        return with_range.drop("subkey").withColumn("end", F.lit(0))
     spark = docs.sparkSession
-    ends = [(r["range"], following["id"]) for r, following in zip(firsts, firsts[1:] + firsts[:1], strict=True)]
-    table = spark.createDataFrame(ends, "range int, id long")
-    wanted = docs.join(F.broadcast(table), "id")
-    end_rows = wanted.groupBy("range", "id").agg(F.max(F.struct(F.char_length("text").alias("n"), "text")).alias("x"))
-    return with_range.withColumn("end", F.lit(0)).unionByName(
-        end_rows.select("id", F.col("x.text").alias("text"), "range", F.lit(1).alias("end")))
+    ends = [(r["range"], r["sub"], *following["x"], following["range"], following["sub"])
+            for r, following in zip(firsts, firsts[1:] + firsts[:1], strict=True)]
+    table = spark.createDataFrame(ends, "to int, to_sub int, id long, subkey long, range int, sub int")
+    wanted = with_range.join(F.broadcast(table), ["range", "sub", "id", "subkey"])
+    end_rows = wanted.groupBy("to", "to_sub", "id").agg(F.max(F.struct(F.char_length("text").alias("n"), "text")).alias("x"))
+    return with_range.drop("subkey").withColumn("end", F.lit(0)).unionByName(
+        end_rows.select("id", F.col("x.text").alias("text"), F.col("to").alias("range"), F.col("to_sub").alias("sub"), F.lit(1).alias("end")))
 
 
 def with_successor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,7 +139,7 @@ def with_successor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = _ranged(docs.select(F.coalesce(F.col(id_col), F.lit(NULL_ID)).alias("id"), text_of(text_col).alias("text")))
     marked = with_marks(rows, "text", "marks")
-    order = Window.partitionBy("range").orderBy("end", F.desc("id"), F.desc(F.char_length("text")), F.desc("text"))
+    order = Window.partitionBy("range", "sub").orderBy("end", F.desc("id"), F.desc(F.char_length("text")), F.desc("text"))
     both = marked.withColumn("next", F.lead(F.struct("text", "marks")).over(order)).where("end = 0")
     return both.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "text", "marks",
                        F.col("next.text").alias("next_text"), F.col("next.marks").alias("next_marks"))
