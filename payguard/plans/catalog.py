@@ -416,16 +416,17 @@ def stream_dedup_stateful(spark, d):
     return spark.read.parquet(f"{base}/silver").select("payment_id", "dedup_status", "original_payment_id")
 
 
-def _in_batches(spark, df, base, at="ingested_at", parts=4):
-    """The rows as a stream of one file a micro-batch: by arrival in equal spans, the second
-    part delivered again with the last one."""
+def _in_batches(spark, df, base, start, at="ingested_at", parts=4):
+    """The rows as micro-batches: by arrival in equal spans, the second part delivered again
+    with the last one. Each span is written with its own partitions, then ``start``, given the
+    stream over the folder, takes the files it has not seen as one batch of the same checkpoint."""
     low, high = df.agg(F.unix_micros(F.min(at)), F.unix_micros(F.max(at))).first()
     span = (high - low) // parts + 1
     part = ((F.unix_micros(at) - low) / span).cast("int")
     for i in range(parts):
         again = (part == 1) if i == parts - 1 else F.lit(False)
-        df.where((part == i) | again).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    return messages.file_stream(spark, f"{base}/in", "parquet", 1, df.schema)
+        df.where((part == i) | again).write.mode("append").parquet(f"{base}/in")
+        start(spark.readStream.schema(df.schema).parquet(f"{base}/in")).awaitTermination()
 
 
 def _coarse_events(spark, d):
@@ -440,28 +441,25 @@ def _coarse_events(spark, d):
 def stream_dedup_batches(spark, d):
     """Four micro-batches against the registry table: re-acceptance across batches, redelivery."""
     base = run_dir(spark, "stream-batches")
-    stream = _in_batches(spark, _coarse_events(spark, d), base)
-    dedup_stream.start(stream, f"{base}/silver", f"{base}/registry", f"{base}/offsets").awaitTermination()
+    _in_batches(spark, _coarse_events(spark, d), base, lambda stream: dedup_stream.start(
+        stream, f"{base}/silver", f"{base}/registry", f"{base}/offsets"))
     return spark.read.parquet(f"{base}/silver").select("payment_id", "idempotency_key", "dedup_status", "original_payment_id")
 
 
 def stream_dedup_stateful_batches(spark, d):
     """The same with keyed state. Nothing is cleared: the arrivals are far older than the topic keeps them."""
     base = run_dir(spark, "stream-stateful-batches")
-    stream = _in_batches(spark, _coarse_events(spark, d), base)
-    stateful.start(stream, f"{base}/silver", f"{base}/offsets", evict=False,
-                   partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    _in_batches(spark, _coarse_events(spark, d), base, lambda stream: stateful.start(
+        stream, f"{base}/silver", f"{base}/offsets", evict=False, partitions=spark.sparkContext.defaultParallelism))
     return spark.read.parquet(f"{base}/silver").select("payment_id", "idempotency_key", "dedup_status", "original_payment_id")
 
 
 def stream_deadletter(spark, d):
     """Messages of four micro-batches that the dedup job refuses, each once: the redelivered part is a second copy."""
     base = run_dir(spark, "stream-deadletter")
-    stream = _in_batches(spark, derived.faulty_messages(bronze(spark, d)), base)
-    dedup_stream.start(
+    _in_batches(spark, derived.faulty_messages(bronze(spark, d)), base, lambda stream: dedup_stream.start(
         dedup_stream.checked_events(stream), f"{base}/silver", f"{base}/registry", f"{base}/offsets",
-        deadletter_path=f"{base}/deadletter",
-    ).awaitTermination()
+        deadletter_path=f"{base}/deadletter"))
     return flat(spark.read.parquet(f"{base}/deadletter").select(
         "payment_id", "invalid_reason", "raw_payload", "layer").distinct())
 
