@@ -2,9 +2,10 @@
 
 A text is a sequence of tokens; a run of five is an anchor if the least hash among its inner
 runs of two stands at its first or last place. Whether a run is chosen depends on the run
-alone, never on what surrounds it, so two documents that share a passage share its anchors, at
-matching positions. The fingerprint holds the 128 least anchor hashes of the whole text; the
-likeness of two fingerprints estimates the share of anchors in common among those in either.
+alone, never on what surrounds it, so two documents that share a passage share its anchors, their
+positions shifted alike (``with_anchors`` gives them). The fingerprint holds the 128 least anchor
+hashes of the whole text without positions; the likeness of two fingerprints estimates the share
+of anchors in common among those in either, in whatever order.
 
 All of it is column expressions. The query needs each document's successor by descending id:
 rows are cut into id ranges by quantiles, and those of an id that takes up several of them once
