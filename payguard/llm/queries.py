@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from payguard.llm import language, mixing, pieces, quality, sharding, simhash, substrings, suffixes, syncmers, warc
+from payguard.llm import clustering, counts, divergence, language, mixing, pieces, quality, sharding, simhash, substrings, suffixes, syncmers, warc
 
 QUERIES = {
     "op1_syncmers": syncmers.op1_syncmers,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_quality": quality.op9_quality,
     "op10_suffix_arrays": suffixes.op10_suffix_arrays,
+    "op11_clustering": clustering.op11_clustering,
+    "op12_token_counts": counts.op12_token_counts,
+    "op13_divergence": divergence.op13_divergence,
 }
 
-SQL = {"op3_mixing": mixing.SQL, "op6_substrings": substrings.SQL}
+SQL = {"op3_mixing": mixing.SQL, "op6_substrings": substrings.SQL, "op11_clustering": clustering.SQL, "op13_divergence": divergence.SQL}
