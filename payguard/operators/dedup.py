@@ -8,8 +8,8 @@ Three ways lead to the same answer and a cheap profile picks the way per key:
 
 * keys whose rows all lie within one time to live: one window over the key;
 * keys that outlive it: a fold over the key's own sorted arrivals;
-* hot keys (more rows than ``hot_rows``): acceptances come from partial
-  aggregates, one time slice after the other, and the rows meet them in a
+* hot keys (more rows than ``hot_rows``): acceptances come from pointers that leap over
+  twice the time in each round (``chains``), and the rows meet them in a
   map-side join. Rows of a hot key are never brought together.
 """
 
@@ -24,7 +24,8 @@ from pyspark.sql import Window
 
 from payguard import settings as S
 from payguard.functions.keys import registry_key
-from payguard.session import cut, run_dir
+from payguard.operators import chains
+from payguard.session import Workspace
 
 _PRIOR = "_is_event"  # 0 on a carried registry entry, 1 on an event: entries sort first
 
@@ -62,7 +63,7 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= S.BROADCAST_ROWS else df
 
 
-def profile_keys(events: DataFrame, key: str, ttl: int, hot_rows: int) -> KeyProfile:
+def profile_keys(events: DataFrame, key: str, ttl: int, hot_rows: int, work: Workspace) -> KeyProfile:
     """Find long and hot keys in one pass over two columns.
 
     Everything shuffled is a fixed-width number, 32 bytes per key and task after
@@ -79,7 +80,7 @@ def profile_keys(events: DataFrame, key: str, ttl: int, hot_rows: int) -> KeyPro
         )
         .filter("_hot or _long")
     )
-    flagged = cut(flagged)
+    flagged = work.keep(flagged)
     long_keys, hot_keys = flagged.select(
         F.count_if(F.expr("_long and not _hot")), F.count_if(F.col("_hot"))
     ).first()
@@ -155,76 +156,42 @@ def _slice(at: Column, ttl: int) -> Column:
     return F.floor(F.unix_micros(at) / F.lit(ttl * 1_000_000)).cast("bigint")
 
 
-def _hot_epochs(rows: DataFrame, key: str, ttl: int, hot_keys: int) -> tuple[DataFrame, DataFrame, int]:
-    """Acceptances of hot keys from partial aggregates, the slices each key has rows in, and
-    how many slices there are.
-
-    Two acceptances of a key are at least one time to live apart, so a slice of
-    that length holds at most one per key. Key and arrival of the hot rows are
-    written once, by slice, to the shared folder; slices are then visited in
-    order, each read once. What is carried is one row per hot key. Every round
-    ends in a reliable checkpoint, so neither plan nor recomputation grows.
-    """
-    spark = rows.sparkSession
-    narrow = rows.select(key, _arrival(rows).alias("_a"), _slice(F.col("ingested_at"), ttl).alias("_slice"))
-    state: DataFrame | None = None
-    if _PRIOR in rows.columns:
-        # Carried entries hold their keys before any event does.
-        entries = narrow.filter(F.col("_a")[_PRIOR] == 0)
-        state = cut(entries.groupBy(key).agg(F.array(F.min("_a")).alias("_epochs")))
-        narrow = narrow.filter(F.col("_a")[_PRIOR] == 1)
-    path = run_dir(spark, "hot-keys")
-    narrow.hint("rebalance", "_slice").write.partitionBy("_slice").parquet(path)
-    stored = spark.read.schema(narrow.schema).parquet(path)
-    slices = sorted(r[0] for r in stored.select("_slice").distinct().collect())
-    for s in slices:
-        now = stored.filter(F.col("_slice") == s).select(key, "_a")
-        if state is None:
-            state = now.groupBy(key).agg(F.array(F.min("_a")).alias("_epochs"))
-        else:
-            state = _advance(state, now, key, ttl, hot_keys)
-        state = cut(state)
-    return state, stored.select(key, "_slice").distinct(), len(slices)
-
-
-def _advance(state: DataFrame, now: DataFrame, key: str, ttl: int, hot_keys: int) -> DataFrame:
-    """One slice further: keys that are free and see an arrival get one more acceptance."""
-    held = state.select(key, _ttl_end(F.element_at("_epochs", -1)["ingested_at"], ttl).alias("_until"))
-    taken = (
-        now.join(_small(held, hot_keys), key, "left")
-        .filter(F.col("_until").isNull() | (F.col("_a")["ingested_at"] >= F.col("_until")))
-        .groupBy(key).agg(F.array(F.min("_a")).alias("_new"))
-    )
-    grown = F.when(F.col("_epochs").isNull(), F.col("_new")).when(
-        F.col("_new").isNull(), F.col("_epochs")
-    ).otherwise(F.concat("_epochs", "_new"))
-    return state.join(taken, key, "full_outer").select(key, grown.alias("_epochs"))
-
-
-def _by_slices(rows: DataFrame, key: str, ttl: int, hot_keys: int) -> DataFrame:
+def _by_slices(rows: DataFrame, key: str, ttl: int, hot_keys: int, work: Workspace) -> DataFrame:
     """Hot keys. Their number is bounded by rows / hot_rows and was counted.
 
-    A row meets two acceptances at most: the one of its own slice, and the last
-    one before. They are laid out per key and slice, so the join is a plain
+    Two acceptances of a key are at least one time to live apart, so a slice of that length
+    holds at most one. A row meets two acceptances at most: the one of its own slice, and the
+    last one before. They are laid out per key and slice, so the join is a plain
     equality and the choice a single comparison.
     """
-    epochs, own_slices, n_slices = _hot_epochs(rows, key, ttl, hot_keys)
-    arrival, own = _arrival(rows), F.col("_slice")
-    prior = (lambda e: e[_PRIOR] == 0) if _PRIOR in rows.columns else (lambda e: F.lit(False))
-
-    def earlier(e: Column) -> Column:
-        return prior(e) | (_slice(e["ingested_at"], ttl) < own)
-
-    laid_out = own_slices.join(epochs, key).select(
-        key, "_slice",
-        F.try_element_at(F.filter("_epochs", earlier), F.lit(-1)).alias("_before"),
-        F.try_element_at(
-            F.filter("_epochs", lambda e: ~prior(e) & (_slice(e["ingested_at"], ttl) == own)), F.lit(1)
-        ).alias("_within"),
-    )
-    met = rows.withColumn("_slice", _slice(F.col("ingested_at"), ttl)).join(
-        _small(laid_out, hot_keys * n_slices), [key, "_slice"]
-    )
+    arrival, at = _arrival(rows), F.unix_micros("ingested_at").alias("t")
+    entries, own = None, rows
+    if _PRIOR in rows.columns:
+        # Carried entries hold their keys before any event does.
+        entries = work.keep(rows.filter(F.col(_PRIOR) == 0).groupBy(key).agg(F.min(arrival).alias("_a")))
+        own = rows.filter(F.col(_PRIOR) == 1)
+    instants = work.keep(own.groupBy(key, at).agg(F.min(arrival).alias("_a")))
+    free = instants.select(key, "t")
+    if entries is not None:
+        until = entries.select(key, (F.unix_micros("_a.ingested_at") + ttl * 1_000_000).alias("_until"))
+        free = free.join(_small(until, hot_keys), key, "left").filter(
+            F.col("_until").isNull() | (F.col("t") >= F.col("_until"))
+        ).select(key, "t")
+    n, low, high = instants.agg(F.count("*"), F.min("t"), F.max("t")).first()
+    if not n:  # carried entries alone
+        return rows.select("*", F.lit(False).alias("_taken"), F.lit(None).cast("string").alias("_holder"))
+    # an acceptance, and a line of the layout, for each key and slice at most
+    slots = min(n, hot_keys * ((high - low) // (ttl * 1_000_000) + 2)) + hot_keys
+    chain = chains.accepted(free, key, ttl, work, low, high, small=lambda df: _small(df, slots))
+    taken = instants.join(_small(chain, slots), [key, "t"], "left_semi")
+    epochs = taken.select(key, _slice(F.timestamp_micros("t"), ttl).alias("_slice"), F.col("_a").alias("_within"))
+    slices = instants.select(key, _slice(F.timestamp_micros("t"), ttl).alias("_slice")).distinct()
+    laid_out = slices.join(epochs, [key, "_slice"], "left")
+    if entries is not None:
+        laid_out = laid_out.unionByName(entries.select(key, F.lit(-(2**63)).alias("_slice"), F.col("_a").alias("_within")))
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    laid_out = work.keep(laid_out.withColumn("_before", F.last("_within", ignorenulls=True).over(earlier)))
+    met = rows.withColumn("_slice", _slice(F.col("ingested_at"), ttl)).join(_small(laid_out, slots), [key, "_slice"])
     holder = F.when(arrival >= F.col("_within"), F.col("_within")).otherwise(F.col("_before"))
     return met.withColumn("_epoch", holder).select(
         *rows.columns, (F.col("_epoch") == arrival).alias("_taken"),
@@ -239,6 +206,7 @@ def decide(
     hot_rows: int = S.HOT_KEY_ROWS,
     carried: DataFrame | None = None,
     profile: KeyProfile | None = None,
+    work: Workspace | None = None,
 ) -> DataFrame:
     """Add ``dedup_status``, ``rejection_reason``, ``original_payment_id``, ``registry_key``.
 
@@ -247,7 +215,9 @@ def decide(
     batches, at most one per key: they take their keys before any event does.
     The ground-truth ``original_payment_id`` of the message, if present, is
     replaced by the finding of the registry, as in the decision record.
+    ``work`` holds the working tables the result reads; without one they stay below the shared folder.
     """
+    work = work or Workspace(events.sparkSession, "decide")
     rows = events.drop("original_payment_id")
     columns = rows.columns
     if carried is not None:
@@ -256,11 +226,11 @@ def decide(
                            F.lit(0).alias(_PRIOR)),
             allowMissingColumns=True,
         )
-    profile = profile or profile_keys(rows, key, ttl, hot_rows)
+    profile = profile or profile_keys(rows, key, ttl, hot_rows, work)
     ways = []
     if profile.hot_keys:
         hot = _tagged(rows, key, profile.flagged.filter("_hot"), profile.hot_keys)
-        ways.append(_by_slices(hot.filter("_tag").drop("_h", "_tag"), key, ttl, profile.hot_keys))
+        ways.append(_by_slices(hot.filter("_tag").drop("_h", "_tag"), key, ttl, profile.hot_keys, work))
         rows = hot.filter("_tag is null").drop("_h", "_tag")
     if profile.long_keys:
         # Grouping by hash and key lets the shuffle of a tagging join, where the

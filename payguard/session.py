@@ -63,6 +63,40 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/payguard/{label}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Workspace:
+    """Working tables of one run below the shared folder, deleted together.
+
+    A table kept here cuts the lineage and survives lost executors. Whoever uses the last
+    result closes the workspace, as the streaming jobs do after each batch; as a context manager it closes itself.
+    """
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark, self.path, self.tables = spark, run_dir(spark, label), 0
+
+    def keep(self, df):
+        """The frame written and read again."""
+        self.tables += 1
+        path = f"{self.path}/{self.tables:03d}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        if self.tables:
+            delete(self.spark, self.path)
+            self.tables = 0
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
+
 def cut(df):
     """Reliable checkpoint: cuts the lineage and survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
