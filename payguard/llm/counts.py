@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payguard.llm.common import documents, stored, text_of
+from payguard.llm.common import documents, free_shuffles, stored, text_of
 from payguard.llm.pieces import SPACE, PieceModel, model_path
 
 COMMON = 1 << 20
@@ -157,6 +157,7 @@ def _repeated(times: Column) -> Column:
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, common: int = COMMON) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row."""
     pieces, seed = dictionary(docs, check_model(path), text_col)
+    free_shuffles(docs.sparkSession)  # those of the dictionary, before the documents' own
     total = pieces.agg(F.sum("n")).first()[0] or 0
     # at most ``common`` keys can reach this share of all occurrences
     often = F.col("n") * common >= F.lit(total)
