@@ -42,19 +42,36 @@ def status_counts() -> tuple[Column, Column, Column]:
     )
 
 
+COUNTS = ("n", "n_accepted", "n_rejected")
+
+
+def latency_counts(silver: DataFrame, keys: Sequence[Column | str]) -> DataFrame:
+    """Rows counted per (group, latency): a hash aggregate with map-side combine, so a group holding a
+    third of all rows leaves each task as a few counters. Counts of disjoint rows add up (``added``)."""
+    named = [k if isinstance(k, Column) else F.col(k) for k in keys]
+    return silver.groupBy(*named, F.col("processing_latency_ms")).agg(*status_counts())
+
+
+def added(counts: DataFrame) -> DataFrame:
+    """Counts of several parts as those of the whole."""
+    groups = [c for c in counts.columns if c not in COUNTS]
+    return counts.groupBy(*groups).agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
 def latency_profile(silver: DataFrame, keys: Sequence[Column | str], sla_ms: int = S.SLA_MS) -> DataFrame:
     """Counts, sums and exact percentiles of the latency per group, skew-proof.
 
-    The rows are first counted per (group, latency): a hash aggregate with
-    map-side combine, so a group holding a third of all rows leaves each task
-    as a few counters. Only counters, bounded by the number of distinct latencies
+    Only counters, bounded by the number of distinct latencies
     rather than by rows, meet per group. There a running count finds the values
     on either side of each percentile: a sort that can spill, no map in memory.
     """
+    return profile_of(latency_counts(silver, keys), sla_ms)
+
+
+def profile_of(per_value: DataFrame, sla_ms: int = S.SLA_MS) -> DataFrame:
+    """The profile from ``latency_counts``."""
     lat, n = F.col("processing_latency_ms"), F.col("n")
-    named = [k if isinstance(k, Column) else F.col(k) for k in keys]
-    per_value = silver.groupBy(*named, lat).agg(*status_counts())
-    names = [c for c in per_value.columns if c not in ("processing_latency_ms", "n", "n_accepted", "n_rejected")]
+    names = [c for c in per_value.columns if c not in ("processing_latency_ms", *COUNTS)]
     # a row without a latency is a decision, but has no place among the latencies
     per_value = per_value.withColumn("_timed", F.when(lat.isNotNull(), n).otherwise(0))
     ranked = _ranked(per_value, names, lat) if names else _ranked_all(per_value, lat)

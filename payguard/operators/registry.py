@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payguard import settings as S
+from payguard.schemas import struct_of
 
 
 def acceptances(decided: DataFrame, key: str = "idempotency_key", at: str = "ingested_at") -> DataFrame:
@@ -43,3 +44,24 @@ def decision_counts(decided: DataFrame) -> DataFrame:
         F.count_if(F.col("dedup_status") == S.REJECTED_DUPLICATE).alias("total_rejected"),
         F.count_if(F.col("dedup_status") == S.REJECTED_INVALID).alias("total_errors"),
     )
+
+
+COUNTERS = struct_of(
+    "total_received long, total_processed long, total_accepted long, total_rejected long, total_errors long, batch_id long"
+)
+
+
+def batch_counts(decided: DataFrame, received: int, errors: int) -> DataFrame:
+    """One batch: messages received, decided by finding, and refused. What is received is decided or refused;
+    a refused message that is recorded as well counts once, as refused."""
+    counts = decision_counts(decided.filter(F.col("dedup_status") != S.REJECTED_INVALID))
+    return counts.select(F.lit(received).cast("long").alias("total_received"), "total_processed", "total_accepted", "total_rejected",
+                         F.lit(errors).cast("long").alias("total_errors"))
+
+
+def running_counts(counters: DataFrame, upto_batch: int | None = None) -> DataFrame:
+    """Totals over the batches of a counter table, one row a batch."""
+    if upto_batch is not None:
+        counters = counters.filter(F.col("batch_id") <= upto_batch)
+    names = COUNTERS.fieldNames()[:-1]
+    return counters.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names], F.count("*").alias("batches"))

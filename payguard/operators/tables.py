@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payguard import settings as S
+from payguard.operators import manifest
 from payguard.operators.dedup import arrival_columns
 from payguard.session import cut
 
@@ -66,9 +67,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The table, or an empty frame of its schema before the first write."""
+    """The table, or an empty frame of its schema before the first write; its live parts where it was compacted."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    known = manifest.newest(spark, path)
+    if known is not None:
+        return manifest.read(spark, path, schema, known)
     return spark.read.schema(schema).parquet(path)
 
 

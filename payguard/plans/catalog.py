@@ -256,6 +256,20 @@ def _gold_after_two_runs(pipeline, mode):
     return query
 
 
+def gold_unique_estimates(spark, d):
+    """Distinct counts by day from sketches of two runs united, beside the exact ones: within three standard errors?"""
+    table, _ = _two_runs(spark, d, incremental.UNIQUES, "merge")
+    estimates = incremental.read_gold(spark, incremental.UNIQUES, table)
+    exact = gold.system_daily(bronze(spark, d), silver(spark, d)).select("day_bucket", "unique_customers", "unique_merchants")
+
+    def within(name):
+        bound = F.col(name) * (3 * 1.04 / 2 ** (gold.SKETCH_BITS / 2)) + 1
+        return (F.abs(F.col(f"{name}_estimate") - F.col(name)) <= bound).alias(f"{name}_within")
+
+    return flat(estimates.join(exact, "day_bucket").select(
+        "day_bucket", "unique_customers", "unique_merchants", within("unique_customers"), within("unique_merchants")))
+
+
 def _upsert_of(compute, keys_):
     """Keyed upsert: Gold of everything up to the mark, then Gold of all after it."""
 
@@ -416,17 +430,19 @@ def stream_dedup_stateful(spark, d):
     return spark.read.parquet(f"{base}/silver").select("payment_id", "dedup_status", "original_payment_id")
 
 
-def _in_batches(spark, df, base, start, at="ingested_at", parts=4):
+def _in_batches(spark, df, base, start, at="ingested_at", parts=4, again_as=lambda rows: rows, wait=lambda q: q.awaitTermination()):
     """The rows as micro-batches: by arrival in equal spans, the second part delivered again
-    with the last one. Each span is written with its own partitions, then ``start``, given the
+    with the last one, changed by ``again_as``. Each span is written with its own partitions, then ``start``, given the
     stream over the folder, takes the files it has not seen as one batch of the same checkpoint."""
     low, high = df.agg(F.unix_micros(F.min(at)), F.unix_micros(F.max(at))).first()
     span = (high - low) // parts + 1
     part = ((F.unix_micros(at) - low) / span).cast("int")
     for i in range(parts):
-        again = (part == 1) if i == parts - 1 else F.lit(False)
-        df.where((part == i) | again).write.mode("append").parquet(f"{base}/in")
-        start(spark.readStream.schema(df.schema).parquet(f"{base}/in")).awaitTermination()
+        rows = df.where(part == i)
+        if i == parts - 1:
+            rows = rows.unionByName(again_as(df.where(part == 1)))
+        rows.write.mode("append").parquet(f"{base}/in")
+        wait(start(spark.readStream.schema(df.schema).parquet(f"{base}/in")))
 
 
 def _coarse_events(spark, d):
@@ -454,6 +470,61 @@ def stream_dedup_stateful_batches(spark, d):
     return spark.read.parquet(f"{base}/silver").select("payment_id", "idempotency_key", "dedup_status", "original_payment_id")
 
 
+def _moved(rows):
+    """Messages delivered again under another key than the first time."""
+    return rows.withColumn("idempotency_key", F.concat("idempotency_key", F.lit("|moved")))
+
+
+def stream_dedup_moved_batches(spark, d):
+    """Four micro-batches; the payments delivered again come under another key, and still have one decision."""
+    base = run_dir(spark, "stream-moved")
+    _in_batches(spark, _coarse_events(spark, d), base, lambda stream: dedup_stream.start(
+        stream, f"{base}/silver", f"{base}/registry", f"{base}/offsets"), again_as=_moved)
+    return spark.read.parquet(f"{base}/silver").select("payment_id", "idempotency_key", "dedup_status", "original_payment_id")
+
+
+def stream_dedup_stateful_moved_batches(spark, d):
+    """The same with keyed state."""
+    base = run_dir(spark, "stream-stateful-moved")
+    _in_batches(spark, _coarse_events(spark, d), base, lambda stream: stateful.start(
+        stream, f"{base}/silver", f"{base}/offsets", evict=False, partitions=spark.sparkContext.defaultParallelism), again_as=_moved)
+    return spark.read.parquet(f"{base}/silver").select("payment_id", "idempotency_key", "dedup_status", "original_payment_id")
+
+
+# The topic of the replay keeps messages for so long, enough for the part delivered again.
+REPLAY_RETENTION = 16 * 86_400
+
+
+def _evicting(spark, d, name):
+    """A replay whose clock is the arrival: watermark and timers run as they would have, and no row is lost."""
+    base = run_dir(spark, name)
+    _in_batches(spark, _coarse_events(spark, d), base, lambda stream: stateful.start(
+        stream, f"{base}/silver", f"{base}/offsets", retention=REPLAY_RETENTION, clock="ingested_at",
+        partitions=spark.sparkContext.defaultParallelism), wait=stateful.await_without_loss)
+    return base
+
+
+def stream_dedup_stateful_evict(spark, d):
+    """Four micro-batches with keyed state that expires between them."""
+    base = _evicting(spark, d, "stream-evict")
+    return spark.read.parquet(f"{base}/silver").select("payment_id", "idempotency_key", "dedup_status", "original_payment_id")
+
+
+def stream_state_after_evict(spark, d):
+    """What the state still holds then: keys whose acceptance was in force at the last watermark or later."""
+    base = _evicting(spark, d, "stream-evict-state")
+    return stateful.held_keys(spark, f"{base}/offsets")
+
+
+def stream_running_counts(spark, d):
+    """Totals over four micro-batches of faulty messages, from the counter table the job keeps."""
+    base = run_dir(spark, "stream-counts")
+    _in_batches(spark, derived.faulty_messages(bronze(spark, d)), base, lambda stream: dedup_stream.start(
+        dedup_stream.checked_events(stream), f"{base}/silver", f"{base}/registry", f"{base}/offsets",
+        deadletter_path=f"{base}/deadletter", counters_path=f"{base}/counters"))
+    return registry.running_counts(tables.read_table(spark, f"{base}/counters", registry.COUNTERS)).drop("total_accepted", "total_rejected")
+
+
 def stream_deadletter(spark, d):
     """Messages of four micro-batches that the dedup job refuses, each once: the redelivered part is a second copy."""
     base = run_dir(spark, "stream-deadletter")
@@ -497,6 +568,10 @@ QUERIES: dict[str, Query] = {
     "gold_sla_two_runs_full": _gold_after_two_runs(incremental.SLA, "full_bucket"),
     "gold_customer_two_runs_full": _gold_after_two_runs(incremental.CUSTOMER, "full_bucket"),
     "gold_system_two_runs_full": _gold_after_two_runs(incremental.SYSTEM, "full_bucket"),
+    "gold_merchant_two_runs_merge": _gold_after_two_runs(incremental.MERCHANT, "merge"),
+    "gold_sla_two_runs_merge": _gold_after_two_runs(incremental.SLA, "merge"),
+    "gold_customer_two_runs_merge": _gold_after_two_runs(incremental.CUSTOMER, "merge"),
+    "gold_unique_estimates": gold_unique_estimates,
     "hwm_max": hwm_max,
     "hwm_slice": hwm_slice,
     "hwm_seed": hwm_seed,
@@ -521,4 +596,9 @@ QUERIES: dict[str, Query] = {
     "stream_dedup_batches": stream_dedup_batches,
     "stream_dedup_stateful_batches": stream_dedup_stateful_batches,
     "stream_deadletter": stream_deadletter,
+    "stream_dedup_moved_batches": stream_dedup_moved_batches,
+    "stream_dedup_stateful_moved_batches": stream_dedup_stateful_moved_batches,
+    "stream_dedup_stateful_evict": stream_dedup_stateful_evict,
+    "stream_state_after_evict": stream_state_after_evict,
+    "stream_running_counts": stream_running_counts,
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from payguard import settings as S
-from payguard.functions.measures import latency_profile, pct
+from payguard.functions.measures import latency_counts, latency_profile, pct, profile_of, status_counts
 
 
 def _hour():
@@ -20,7 +20,16 @@ def _day():
 
 def merchant_hourly(silver: DataFrame) -> DataFrame:
     """Volume, duplicate rate and latency by merchant and hour of decision."""
-    return latency_profile(silver, ["merchant_id", _hour()]).select(
+    return merchant_of(merchant_counts(silver))
+
+
+def merchant_counts(silver: DataFrame) -> DataFrame:
+    return latency_counts(silver, ["merchant_id", _hour()])
+
+
+def merchant_of(counts: DataFrame) -> DataFrame:
+    """The same from ``merchant_counts``, those of several parts added up."""
+    return profile_of(counts).select(
         "merchant_id", "hour_bucket",
         F.col("n").alias("total_payments"),
         F.col("n_accepted").alias("accepted_payments"),
@@ -34,7 +43,16 @@ def merchant_hourly(silver: DataFrame) -> DataFrame:
 
 def sla_hourly(silver: DataFrame, sla_ms: int = S.SLA_MS) -> DataFrame:
     """Share of decisions under the latency target, and its distribution, by hour."""
-    return latency_profile(silver, [_hour()], sla_ms).select(
+    return sla_of(sla_counts(silver), sla_ms)
+
+
+def sla_counts(silver: DataFrame) -> DataFrame:
+    return latency_counts(silver, [_hour()])
+
+
+def sla_of(counts: DataFrame, sla_ms: int = S.SLA_MS) -> DataFrame:
+    """The same from ``sla_counts``, those of several parts added up."""
+    return profile_of(counts, sla_ms).select(
         "hour_bucket",
         F.col("n").alias("total_decisions"),
         F.col("n_within").alias("within_sla_count"),
@@ -54,13 +72,50 @@ def customer_daily(silver: DataFrame, threshold: int = S.REVIEW_THRESHOLD) -> Da
     ``max_retries_single_txn`` is the plain 0/1 "any duplicate" mark; the true
     depth is in ``customer_retries``.
     """
-    rejected = F.col("dedup_status") == S.REJECTED_DUPLICATE
-    return silver.groupBy("customer_id", _day()).agg(
-        F.count("*").alias("total_payments"),
-        F.count_if(F.col("dedup_status") == S.ACCEPTED).alias("unique_payments"),
-        F.count_if(rejected).alias("duplicate_attempts"),
-        F.coalesce(F.max(F.when(rejected, 1).otherwise(0)), F.lit(0)).alias("max_retries_single_txn"),
-        (F.count_if(rejected) > threshold).alias("flagged_for_review"),
+    return customer_of(customer_counts(silver), threshold)
+
+
+def customer_counts(silver: DataFrame) -> DataFrame:
+    return silver.groupBy("customer_id", _day()).agg(*status_counts())
+
+
+def customer_of(counts: DataFrame, threshold: int = S.REVIEW_THRESHOLD) -> DataFrame:
+    """The same from ``customer_counts``, those of several parts added up."""
+    return counts.select(
+        "customer_id", "day_bucket",
+        F.col("n").alias("total_payments"),
+        F.col("n_accepted").alias("unique_payments"),
+        F.col("n_rejected").alias("duplicate_attempts"),
+        F.when(F.col("n_rejected") > 0, 1).otherwise(0).alias("max_retries_single_txn"),
+        (F.col("n_rejected") > threshold).alias("flagged_for_review"),
+    )
+
+
+SKETCH_BITS = 12  # of a distinct count: 4,096 registers, a standard error of 1.04 / 64
+
+
+def unique_sketches(silver: DataFrame) -> DataFrame:
+    """Sketches of the customers and merchants of each day. Those of several parts unite, so a
+    late slice adds its own and no day is counted again; ``system_daily`` has the exact counts."""
+    return silver.groupBy(_day()).agg(
+        F.hll_sketch_agg("customer_id", SKETCH_BITS).alias("customers"),
+        F.hll_sketch_agg("merchant_id", SKETCH_BITS).alias("merchants"),
+    )
+
+
+def united(sketches: DataFrame) -> DataFrame:
+    """Sketches of several parts as those of the whole."""
+    return sketches.groupBy("day_bucket").agg(
+        F.hll_union_agg("customers").alias("customers"), F.hll_union_agg("merchants").alias("merchants")
+    )
+
+
+def unique_estimates(sketches: DataFrame) -> DataFrame:
+    """Estimated distinct customers and merchants by day."""
+    return sketches.select(
+        "day_bucket",
+        F.hll_sketch_estimate("customers").alias("unique_customers_estimate"),
+        F.hll_sketch_estimate("merchants").alias("unique_merchants_estimate"),
     )
 
 

@@ -12,6 +12,11 @@ Two modes:
     partitions, reads no old Gold and can be repeated at will, at the price of at
     most one day of narrow Silver columns beyond the slice. Where that matters more
     than file count, ``part_unit="hour"`` partitions an hourly table by hour.
+``merge``
+    For pipelines whose counters add up. A run counts the slice alone, stores these counters beside Gold
+    (``<gold>_parts``, by day and run), and computes the days it touched from the counters of all runs: no Silver row is
+    read twice, however late a slice comes. Counters of a run that never wrote its mark are passed over, so a
+    run that stopped can be repeated with a larger slice. Such a pipeline keeps this mode from its first run.
 ``slice``
     Aggregates the slice alone and replaces the keys it holds: a bucket spread
     over two runs keeps the values of the last slice only.
@@ -28,6 +33,7 @@ from pyspark.sql.types import StructType
 
 from payguard import schemas
 from payguard import settings as S
+from payguard.functions.measures import added
 from payguard.operators import tables, watermark
 from payguard.plans import gold
 
@@ -45,6 +51,10 @@ class Pipeline:
     unit: str  # bucket length: "hour" or "day"
     schema: StructType
     part_unit: str = "day"  # partition length; never shorter than the bucket
+    # for the merge mode: counters of a slice, those of several slices as one, Gold from them
+    count: Callable[[DataFrame], DataFrame] | None = None
+    merge: Callable[[DataFrame], DataFrame] | None = None
+    finish: Callable[[DataFrame], DataFrame] | None = None
 
     def part(self) -> Column:
         pattern = "yyyy-MM-dd-HH" if self.part_unit == "hour" else "yyyy-MM-dd"
@@ -55,11 +65,17 @@ class Pipeline:
 
 
 MERCHANT = Pipeline(S.PIPELINE_MERCHANT, gold.merchant_hourly, ("merchant_id", "hour_bucket"),
-                    "hour_bucket", "hour", schemas.GOLD_MERCHANT)
+                    "hour_bucket", "hour", schemas.GOLD_MERCHANT,
+                    count=gold.merchant_counts, merge=added, finish=gold.merchant_of)
 SLA = Pipeline(S.PIPELINE_SLA, gold.sla_hourly, ("hour_bucket",),
-               "hour_bucket", "hour", schemas.GOLD_SLA)
+               "hour_bucket", "hour", schemas.GOLD_SLA, count=gold.sla_counts, merge=added, finish=gold.sla_of)
 CUSTOMER = Pipeline(S.PIPELINE_CUSTOMER, gold.customer_daily, ("customer_id", "day_bucket"),
-                    "day_bucket", "day", schemas.GOLD_CUSTOMER)
+                    "day_bucket", "day", schemas.GOLD_CUSTOMER,
+                    count=gold.customer_counts, merge=added, finish=gold.customer_of)
+# Estimates of distinct counts; the exact ones are in the system summary.
+UNIQUES = Pipeline(S.PIPELINE_UNIQUES, lambda silver: gold.unique_estimates(gold.unique_sketches(silver)), ("day_bucket",),
+                   "day_bucket", "day", schemas.GOLD_UNIQUES,
+                   count=gold.unique_sketches, merge=gold.united, finish=gold.unique_estimates)
 
 # Computed from Silver and, by day, from Bronze; ``run`` takes the latter as ``bronze``.
 SYSTEM = Pipeline(S.PIPELINE_SYSTEM, gold.system_daily, ("day_bucket",),
@@ -110,8 +126,8 @@ def run(
     """
     if bronze is not None:
         return run_system(pipeline, bronze, silver, gold_path, log_path, until)
-    if mode not in ("full_bucket", "slice"):
-        raise ValueError(f"unknown mode {mode!r}")
+    if mode not in ("full_bucket", "slice", "merge") or mode == "merge" and pipeline.count is None:
+        raise ValueError(f"unknown mode {mode!r}, or not one of {pipeline.name}")
     spark = silver.sparkSession
     if until is not None:
         silver = silver.filter(F.col("decision_at") <= until)
@@ -122,6 +138,10 @@ def run(
     if high_us is None:
         return None
     high = watermark.instant(high_us)
+    if mode == "merge":
+        rows = merge_slice(pipeline, slice_input(silver, mark, high), gold_path, log, high_us)
+        append_mark(spark, log_path, pipeline.name, high_us, rows)
+        return RunResult(high_us, rows)
     source = slice_input(silver, mark, high) if mode == "slice" else bucket_input(silver, mark, high, pipeline.part_unit)
     stamped = schemas.conform(
         pipeline.compute(source).withColumn("aggregated_at", F.current_timestamp()), pipeline.schema
@@ -135,6 +155,26 @@ def run(
     return RunResult(high_us, rows)
 
 
+def merge_slice(pipeline: Pipeline, news: DataFrame, gold_path: str, log: DataFrame, run_us: int) -> int:
+    """Store the slice's counters, then replace the Gold partitions it touches from those of all runs; how
+    many keys the slice has."""
+    spark, path = news.sparkSession, f"{gold_path}_parts"
+    counted = pipeline.count(news)
+    schema = StructType([*counted.schema.fields]).add(PART, "string").add("run_us", "long")
+    dated = counted.withColumn(PART, pipeline.part()).withColumn("run_us", F.lit(run_us))
+    tables.replace_partitions(dated, path, [PART, "run_us"], rebalance=True)
+    everything = spark.read.schema(schema).parquet(path)
+    own = everything.where(F.col("run_us") == run_us)
+    touched = [r[0] for r in own.select(PART).distinct().collect()]  # the days of a slice
+    finished = log.where(F.col("pipeline_name") == pipeline.name).select(F.unix_micros("last_processed_at").alias("run_us")).distinct()
+    runs = finished.where(F.col("run_us") != run_us).unionByName(spark.createDataFrame([(run_us,)], "run_us long"))
+    parts = everything.where(F.col(PART).isin(touched)).join(runs, "run_us", "left_semi").drop(PART, "run_us")
+    result = pipeline.finish(pipeline.merge(parts)).withColumn("aggregated_at", F.current_timestamp())
+    stamped = schemas.conform(result, pipeline.schema).withColumn(PART, pipeline.part())
+    tables.replace_partitions(stamped, gold_path, [PART], rebalance=True)
+    return own.select(*pipeline.keys).distinct().count()
+
+
 def run_system(
     pipeline: Pipeline, bronze: DataFrame, silver: DataFrame, gold_path: str, log_path: str, until: Column | None = None
 ) -> RunResult | None:

@@ -303,6 +303,12 @@ order by duplicate_attempts desc, customer_id, day_bucket limit 10""",
     "gold_sla_two_runs_full": f"{BASE} {_sla('silver')}",
     "gold_customer_two_runs_full": f"{BASE} {_customer('silver')}",
     "gold_system_two_runs_full": _SYSTEM,
+    "gold_merchant_two_runs_merge": f"{BASE} {_merchant('silver')}",
+    "gold_sla_two_runs_merge": f"{BASE} {_sla('silver')}",
+    "gold_customer_two_runs_merge": f"{BASE} {_customer('silver')}",
+    "gold_unique_estimates": f"""{BASE} select strftime(decision_at, '%Y-%m-%d') as day_bucket,
+  count(distinct customer_id) as unique_customers, count(distinct merchant_id) as unique_merchants,
+  true as unique_customers_within, true as unique_merchants_within from silver group by 1""",
     "hwm_max": f"{BASE} select max(decision_at) as max_decision_at from silver where decision_at > {MARK}",
     "hwm_slice": f"""{BASE} select payment_id, dedup_status, decision_at from silver
 where decision_at > {MARK} and decision_at <= {SECOND_RUN}""",
@@ -363,5 +369,21 @@ select bronze_total = silver_total as counts_match,
     "stream_dedup_stateful_batches": _TTL,
     "stream_deadletter": f"""{BASE}, {_FAULTY} select distinct case when kind > 1 then payment_id end as payment_id,
   reason as invalid_reason, value as raw_payload, 'silver' as layer from faulty where reason is not null""",
+    "stream_dedup_moved_batches": _TTL,
+    "stream_dedup_stateful_moved_batches": _TTL,
+    "stream_dedup_stateful_evict": _TTL,
+    "stream_state_after_evict": f"""with decided as ({_TTL}), times as (
+  select d.idempotency_key, d.payment_id, ts as accepted_at, (select max(ts) from events) as newest
+  from decided d join events on d.payment_id = 'pay_' || event_id where dedup_status = 'ACCEPTED'
+) select idempotency_key, payment_id, accepted_at from times
+where accepted_at + interval 24 hour > newest - interval 16 day
+qualify row_number() over (partition by idempotency_key order by accepted_at desc) = 1""",
+    "stream_running_counts": f"""{BASE}, {_FAULTY}, span as (
+  select epoch_us(min(ingested_at)) as low, (epoch_us(max(ingested_at)) - epoch_us(min(ingested_at))) // 4 + 1 as width from payments
+), received as (
+  select reason from faulty union all
+  select reason from faulty, span where (epoch_us(ingested_at) - low) // width = 1
+) select count(*) as total_received, count(*) filter (reason is null) as total_processed,
+  count(*) filter (reason is not null) as total_errors, cast(4 as bigint) as batches from received""",
     "stream_dedup_stateful": f"{BASE} select payment_id, dedup_status, original_payment_id from silver",
 }

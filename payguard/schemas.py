@@ -44,6 +44,10 @@ SILVER = struct_of(
     " flink_job_id string, kafka_partition short, kafka_offset long"
 )
 
+# The tables as stored, with their partition columns.
+BRONZE_TABLE = T.StructType([*BRONZE.fields]).add("ingested_date", "date").add("batch_id", "long")
+SILVER_TABLE = T.StructType([*SILVER.fields]).add("decision_date", "date").add("batch_id", "long")
+
 # Counters and latencies are 64 bits wide: a day of a large system has more events than
 # fit 32, and a replay of old events, decided now, has latencies of days.
 GOLD_MERCHANT = struct_of(
@@ -73,6 +77,10 @@ GOLD_SYSTEM = struct_of(
     " unique_merchants long, aggregated_at timestamp"
 )
 
+GOLD_UNIQUES = struct_of(
+    "day_bucket date, unique_customers_estimate long, unique_merchants_estimate long, aggregated_at timestamp"
+)
+
 WATERMARKS = struct_of(
     "pipeline_name string, last_processed_at timestamp, last_run_at timestamp,"
     " rows_processed long"

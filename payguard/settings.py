@@ -23,6 +23,7 @@ PIPELINE_MERCHANT = "merchant_duplicate_rate_hourly"
 PIPELINE_SLA = "sla_compliance_hourly"
 PIPELINE_CUSTOMER = "customer_retry_patterns_daily"
 PIPELINE_SYSTEM = "system_summary_daily"
+PIPELINE_UNIQUES = "unique_counts_daily"
 PIPELINES = (PIPELINE_MERCHANT, PIPELINE_SLA, PIPELINE_CUSTOMER, PIPELINE_SYSTEM)
 # A micro-batch takes at most so much of a backlog.
 MAX_MESSAGES_PER_TRIGGER = 2_000_000
@@ -40,3 +41,7 @@ ARRIVAL_ORDER = ("ingested_at", "kafka_partition", "kafka_offset", "payment_id")
 HOT_KEY_ROWS = 10_000
 # A flagged-key table up to this many rows may be broadcast (about 100 bytes a row).
 BROADCAST_ROWS = 200_000
+# Buckets of the index of decided payment ids; thousands for a long history and small batches.
+INDEX_BUCKETS = 64
+# Rows of one key that the stateful job sorts in one batch; above it the registry job is the one to run.
+STATE_ROWS_PER_KEY = 1_000_000

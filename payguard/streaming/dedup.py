@@ -22,7 +22,9 @@ from pyspark.sql.streaming import StreamingQuery
 from payguard import settings as S
 from payguard.functions.measures import latency_ms
 from payguard.operators import dedup, registry, tables, validity
+from payguard.operators.id_index import IdIndex
 from payguard.schemas import SILVER, conform, struct_of
+from payguard.session import Workspace
 from payguard.sources import messages
 from payguard.streaming.bronze import writer
 
@@ -32,7 +34,7 @@ REGISTRY_TABLE = struct_of(
 )
 
 
-# What Silver is looked through for: its payment ids, by batch.
+# What an index is built from where Silver has none: its payment ids, by batch.
 SEEN = struct_of("payment_id string, batch_id long")
 STAMPS = ("ingested_at", "kafka_partition", "kafka_offset", "decision_at")
 NEEDED = {
@@ -96,17 +98,21 @@ def start(
     record_invalid: bool = False,
     publish: Callable[[DataFrame, str], None] | None = None,
     report: Callable[[int, dict], None] | None = None,
+    index: IdIndex | None = None,
+    counters_path: str | None = None,
 ) -> StreamingQuery:
     """Start the job over events, or over messages such as ``checked_events`` gives.
 
     Refused messages, also those that Bronze took, go to ``deadletter_path`` with the
     layer that refused them; with ``record_invalid`` those that can be named become
     decisions with status invalid as well. Silver keeps the first decision of a
-    payment_id, against the payment_id column of the whole history. ``report`` receives
-    the counters of each finished batch (``registry.decision_counts``). ``publish``
+    payment_id, against the buckets of ``index`` (by default beside Silver) that the batch's ids fall into.
+    ``report`` receives the counters of each finished batch (``registry.batch_counts``); with a ``counters_path``, where
+    a row a batch is kept, also the totals of all batches so far, as ``running``. ``publish``
     (``messages.topic_writer``) also gets new decisions and refused messages as keyed
-    messages with the name of their topic, at least once.
+    messages with the name of their topic, at least once. Working tables of a batch are deleted when it is done.
     """
+    index = index or IdIndex(f"{silver_path}_ids")
     if "invalid_reason" in stream.columns and deadletter_path is None:
         raise ValueError("checked messages need a deadletter_path")
 
@@ -119,26 +125,31 @@ def start(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         checked = batch.persist() if "invalid_reason" in batch.columns else None
-        refused = None
+        refused, errors = None, 0
         if checked is not None:
             refuse(checked, batch_id)
-            refused = validity.invalid_decisions(checked, STAMPS) if record_invalid else None
+            errors = checked.filter(F.col("invalid_reason").isNotNull()).count()
+            refused = validity.invalid_decisions(checked, STAMPS) if record_invalid and errors else None
             batch = messages.typed(validity.valid(checked)).withColumn("processing_latency_ms", latency_ms())
         # What neither the decision nor its record needs is not kept or shuffled.
         events = batch.select(*[c for c in batch.columns if c in NEEDED]).persist()
         kept = [events] if checked is None else [events, checked]
         try:
             rows = events.count()
-            if rows or refused is not None:
-                kept.append(decide(events, rows, refused, batch_id))
+            decided = None
+            with Workspace(events.sparkSession, "batch") as work:
+                if rows or refused is not None:
+                    decided = decide(events, rows, refused, batch_id, work)
+                    kept.append(decided)
+                count(decided if rows else None, events, rows, errors, batch_id)
         finally:
             for df in kept:
                 df.unpersist()
 
-    def decide(events: DataFrame, rows: int, refused: DataFrame | None, batch_id: int) -> DataFrame:
+    def decide(events: DataFrame, rows: int, refused: DataFrame | None, batch_id: int, work: Workspace) -> DataFrame:
         spark = events.sparkSession
         carried = carried_entries(events, rows, registry_path, batch_id, ttl) if rows else None
-        decided = dedup.decide(events, ttl, hot_rows=hot_rows, carried=carried).drop("registry_key")
+        decided = dedup.decide(events, ttl, hot_rows=hot_rows, carried=carried, work=work).drop("registry_key")
         if refused is not None:
             decided = decided.unionByName(refused, allowMissingColumns=True)
         decided = decided.persist()
@@ -148,18 +159,32 @@ def start(
             taken.withColumn("batch_id", F.lit(batch_id)), registry_path,
             ["accepted_date", "batch_id"], rebalance=True,
         )
-        earlier = None
-        if tables.path_exists(spark, silver_path):
-            earlier = tables.read_table(spark, silver_path, SEEN).filter(F.col("batch_id") < batch_id)
+        if not index.exists(spark) and tables.path_exists(spark, silver_path):
+            index.build(tables.read_table(spark, silver_path, SEEN).filter(F.col("batch_id") < batch_id))
+        earlier = index.seen(decided, batch_id)
         new = tables.insert_if_absent(decided, earlier, order=dedup.arrival_columns(decided), new_rows=rows or None)
         record = conform(dedup.silver_records(new), SILVER)
         dated = record.withColumn("decision_date", F.to_date("decision_at")).withColumn("batch_id", F.lit(batch_id))
         tables.replace_partitions(dated, silver_path, ["decision_date", "batch_id"])
+        own = spark.read.schema(dated.schema).parquet(silver_path).filter(F.col("batch_id") == batch_id)
+        index.add(own.select("payment_id", F.col("batch_id").cast("long").alias("batch_id")))
         if publish is not None:
-            own = spark.read.schema(dated.schema).parquet(silver_path).filter(F.col("batch_id") == batch_id)
             publish(messages.encode_decisions(own.select(*SILVER.fieldNames())), S.TOPIC_DECISIONS)
-        if report is not None:
-            report(batch_id, registry.decision_counts(decided).first().asDict())
         return decided
 
+    def count(decided: DataFrame | None, events: DataFrame, rows: int, errors: int, batch_id: int) -> None:
+        if report is None and counters_path is None:
+            return
+        if decided is None:  # nothing to decide: the counters say so
+            decided = events.select(F.lit(S.ACCEPTED).alias("dedup_status"))
+        counts = registry.batch_counts(decided, rows + errors, errors).first().asDict()
+        spark = events.sparkSession
+        if counters_path is not None:
+            row = spark.createDataFrame([(*counts.values(), batch_id)], registry.COUNTERS)
+            tables.replace_partitions(row.coalesce(1), counters_path, ["batch_id"])
+            everything = tables.read_table(spark, counters_path, registry.COUNTERS)
+            counts = counts | {"running": registry.running_counts(everything, batch_id).first().asDict()}
+        if report is not None:
+            report(batch_id, counts)
+
     return writer(stamp(stream), step, checkpoint, interval)

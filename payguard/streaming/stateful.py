@@ -12,16 +12,20 @@ now - R and at most now, with a delay of R. So the watermark is never later than
 now - R, whatever time a producer stamps: no row is behind it, and an entry whose
 span ends before it meets no further row.
 
-A payment is decided once: the state of a key also holds the payments decided under
-it, for as long as a message can come again. A payment_id belongs to one key, which
-is made from the payment's own fields. Files replayed with arrivals older than R fall under the second
+A payment is decided once whatever its key: what the keys decide goes on to a second operator, which keeps the
+payment ids it has seen, for as long as a message can come again, and lets the first decision of each pass. A repeated
+message still meets its key, as it does in the registry job. Files replayed with arrivals older than R fall under the second
 branch of the clock: their entries stay for at least R of running time; for a
-replay that runs longer, use ``streaming.dedup`` or ``evict=False``.
+replay that runs longer, use ``streaming.dedup``, ``evict=False``, or a clock that follows the arrivals (``clock``).
+
+Should a row be behind the watermark all the same, Spark drops it and counts it;
+``await_without_loss`` stops the job then, and the registry job can decide the batch from Bronze.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -35,38 +39,34 @@ from payguard.session import ROCKSDB
 from payguard.streaming.dedup import stamp
 
 
+# Numbers of the two operators in a checkpoint: the one nearest to the sink comes first.
+KEYS, PAYMENTS = 1, 0
 FOUND = struct_of("dedup_status string, rejection_reason string, original_payment_id string")
 
 
 class FirstSight(StatefulProcessor):
     """Per key: who holds it since when. Rows are decided in arrival order.
 
-    Times are compared as epoch microseconds (``_us``), which no time zone touches.
+    Times are compared as epoch microseconds (``_us``), which no time zone touches. The rows of a key in one batch
+    are sorted here, so their number is bounded.
     """
 
-    def __init__(self, columns: list[str], order: list[str], ttl: int, evict: bool, retention: int) -> None:
-        self.columns, self.order, self.ttl_us, self.evict = columns, order, ttl * 1_000_000, evict
-        self.kept_us = retention * 1_000_000
+    def __init__(self, columns: list[str], order: list[str], ttl: int, evict: bool, most: int) -> None:
+        self.columns, self.order, self.ttl_us, self.evict, self.most = columns, order, ttl * 1_000_000, evict, most
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.held = handle.getValueState(
             "held", struct_of("payment_id string, accepted_us long, timer_ms long")
         )
-        self.decided = handle.getMapState("decided", struct_of("payment_id string"), struct_of("timer_ms long"))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         payment, since, timer = tuple(self.held.get()) if self.held.exists() else (None, None, 0)
         before, clock_us = since, 0
-        # Null sorts before any value, as it does in the batch order.
-        position = lambda r: tuple((r[c] is not None, r[c]) for c in self.order)
-        for r in sorted(rows, key=position):
-            if self.decided.containsKey((r["payment_id"],)):
-                continue
-            forget = (r["_clock_us"] + self.kept_us) // 1000 + 1
-            self.decided.updateValue((r["payment_id"],), (forget,))
-            if self.evict:
-                self.handle.registerTimer(forget)
+        batch = list(itertools.islice(rows, self.most + 1))
+        if len(batch) > self.most:
+            raise ValueError(f"key {key[0]} has more than {self.most} rows in one batch: run streaming.dedup, which splits hot keys")
+        for r in sorted(batch, key=arrival_position(self.order)):
             if since is None or r["_us"] >= since + self.ttl_us:
                 payment, since, clock_us = r["payment_id"], r["_us"], r["_clock_us"]
                 found = (S.ACCEPTED, None, None)
@@ -81,40 +81,86 @@ class FirstSight(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         # An older timer of a key that was taken anew meanwhile clears nothing.
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        if self.held.exists() and self.held.get()[2] == now:
+        if self.held.exists() and self.held.get()[2] == expiredTimerInfo.getExpiryTimeInMs():
             self.held.clear()
-        for payment in [p for p, timer in self.decided.iterator() if timer[0] <= now]:
-            self.decided.removeKey(payment)
         return iter(())
 
     def close(self) -> None:
         pass
 
 
+class FirstOfPayment(StatefulProcessor):
+    """Per payment id: whether a decision went out. Of several in one batch the first arrival passes."""
+
+    def __init__(self, columns: list[str], order: list[str], evict: bool, retention: int) -> None:
+        self.columns, self.order, self.evict, self.kept_us = columns, order, evict, retention * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sent = handle.getValueState("sent", struct_of("timer_ms long"))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        if self.sent.exists():
+            return
+        # a minimum, not a list: any number of copies may come
+        first = min(rows, key=arrival_position([*self.order, "idempotency_key"]))
+        forget = (first["_clock_us"] + self.kept_us) // 1000 + 1
+        if self.evict:
+            self.handle.registerTimer(forget)
+        self.sent.update((forget,))
+        yield Row(**{c: first[c] for c in self.columns})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.sent.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def arrival_position(order: list[str]) -> Callable[[Row], tuple]:
+    """Place of a row in arrival order. Null sorts before any value, as it does in the batch order."""
+    return lambda r: tuple((r[c] is not None, r[c]) for c in order)
+
+
 def decide_stream(
     stream: DataFrame,
     ttl: int = S.TTL_SECONDS,
     evict: bool = True,
     retention: int = S.TOPIC_RETENTION_SECONDS,
+    clock: str | None = None,
+    rows_per_key: int = S.STATE_ROWS_PER_KEY,
 ) -> DataFrame:
-    """The streaming counterpart of ``dedup.decide``: append output, one row per event."""
+    """The streaming counterpart of ``dedup.decide``: append output, one row per payment.
+
+    ``clock`` names a column that tells the running time in place of the wall clock, for a replay in arrival order:
+    watermark and timers then follow it, and no row may come later than the retention behind the newest one.
+    """
     rows = stream.drop("original_payment_id")
     schema = T.StructType([*rows.schema.fields, *FOUND.fields])
     order = ["_us" if c == "ingested_at" else c for c in arrival_columns(rows)]
-    oldest = F.current_timestamp() - F.make_dt_interval(secs=F.lit(retention))
+    now = F.col(clock) if clock else F.current_timestamp()
+    oldest = now - F.make_dt_interval(secs=F.lit(retention))
     timed = (
         rows.withColumn("_us", F.unix_micros("ingested_at"))
-        .withColumn("_clock", F.least(F.greatest("ingested_at", oldest), F.current_timestamp()))
+        .withColumn("_clock", F.least(F.greatest("ingested_at", oldest), now))
         .withColumn("_clock_us", F.unix_micros("_clock"))
     )
+    mode, event_time = ("EventTime", "_clock") if evict else ("None", "")
     if evict:
         timed = timed.withWatermark("_clock", f"{retention} seconds")
-    return timed.groupBy("idempotency_key").transformWithState(
-        statefulProcessor=FirstSight(rows.columns, order, ttl, evict, retention),
+    by_key = timed.groupBy("idempotency_key").transformWithState(
+        statefulProcessor=FirstSight(timed.columns, order, ttl, evict, rows_per_key),
+        outputStructType=T.StructType([*timed.schema.fields, *FOUND.fields]),
+        outputMode="append",
+        timeMode=mode,
+        eventTimeColumnName=event_time,
+    )
+    return by_key.groupBy("payment_id").transformWithState(
+        statefulProcessor=FirstOfPayment(schema.fieldNames(), order, evict, retention),
         outputStructType=schema,
         outputMode="append",
-        timeMode="EventTime" if evict else "None",
+        timeMode=mode,
     )
 
 
@@ -127,6 +173,7 @@ def start(
     evict: bool = True,
     retention: int = S.TOPIC_RETENTION_SECONDS,
     partitions: int | None = None,
+    clock: str | None = None,
 ) -> StreamingQuery:
     """Start the job; the file sink and the state commit with one checkpoint.
 
@@ -140,7 +187,7 @@ def start(
     # This kind of state needs the RocksDB store; it also keeps large state off the heap.
     conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     conf.set("spark.sql.shuffle.partitions", str(partitions or shuffle))
-    decided = decide_stream(stamp(stream), ttl, evict, retention)
+    decided = decide_stream(stamp(stream), ttl, evict, retention, clock)
     record = conform(silver_records(decided), SILVER).withColumn("decision_date", F.to_date("decision_at"))
     w = (
         record.writeStream.format("parquet").partitionBy("decision_date")
@@ -156,11 +203,40 @@ def start(
             conf.set("spark.sql.streaming.stateStore.providerClass", provider)
 
 
+def rows_dropped(query: StreamingQuery) -> int:
+    """Rows the query's operators dropped as behind the watermark, in the batches it still reports."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+class RowsDropped(RuntimeError):
+    """A stateful job lost rows behind its watermark; its batch has to be decided by the registry job."""
+
+
+def await_without_loss(query: StreamingQuery, seconds: int = 10) -> None:
+    """Wait for the query's end; stop it and fail as soon as it reports a dropped row."""
+    done = False
+    while not done:
+        done = query.awaitTermination(seconds)
+        lost = rows_dropped(query)
+        if lost:
+            query.stop()
+            raise RowsDropped(f"{lost} rows were behind the watermark of {query.name or query.id}")
+
+
+def _state(spark: SparkSession, checkpoint: str, variable: str, operator: int) -> DataFrame:
+    reader = spark.read.format("statestore").option("operatorId", operator).option("stateVarName", variable)
+    return reader.load(checkpoint)
+
+
 def held_keys(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Registry entries in the state of a job, as of its last finished batch."""
-    state = spark.read.format("statestore").option("stateVarName", "held").load(checkpoint)
-    return state.select(
+    return _state(spark, checkpoint, "held", KEYS).select(
         F.col("key.idempotency_key").alias("idempotency_key"),
         F.col("value.payment_id").alias("payment_id"),
         F.timestamp_micros("value.accepted_us").alias("accepted_at"),
     )
+
+
+def sent_payments(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Payment ids that a job still remembers, as of its last finished batch."""
+    return _state(spark, checkpoint, "sent", PAYMENTS).select(F.col("key.payment_id").alias("payment_id"))
