@@ -7,7 +7,7 @@ encodes every distinct one once, and only its number of pieces is kept, under a
 since the dictionary proves them to: were two pre-tokens of one hash to differ in pieces, another seed is taken.
 
 A second pass gives each document's frequencies. Pre-tokens that make up at least one ``COMMON``-th of all occurrences
-are at most ``COMMON`` pairs of numbers (12 MB), which every task holds and sums at once. The others, none of which is
+are at most ``COMMON`` pairs of numbers (24 MB), which every task holds and sums at once. The others, none of which is
 frequent enough to fill a task, leave as (document, hash, frequency) and meet their pieces in a join by hash.
 
 Rows: a null text counts like an empty one, which has no token. Equal rows have equal results and
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from payguard.llm.common import documents, free_shuffles, stored, text_of
 from payguard.llm.pieces import SPACE, PieceModel, model_path
 
-COMMON = 1 << 20
+COMMON = 1 << 21
 HELD = 100_000  # distinct pre-tokens a task adds up before it hands them on
 HELD_CHARS = 32_000_000  # or so many characters of text
 ROWS = 512  # documents whose frequencies travel in one batch
