@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from payguard import settings as S
 from payguard.operators import manifest
 from payguard.operators.dedup import arrival_columns
-from payguard.session import cut
+from payguard.session import Workspace
 
 
 def first_per_key(new: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -95,13 +95,14 @@ def append_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
 def upsert_partitions(new: DataFrame, path: str, schema, keys: Sequence[str], part: str) -> None:
     """Keyed upsert into a partitioned table; reads only the partitions touched.
 
-    A plan must not overwrite what it reads, so the merged rows go through a
-    reliable checkpoint in the shared folder first.
+    A plan must not overwrite what it reads, so the merged rows are written to the shared folder
+    first; those working tables are deleted at the end.
     """
     spark = new.sparkSession
-    new = cut(new)
-    if path_exists(spark, path):
-        touched = [r[0] for r in new.select(part).distinct().collect()]  # a few dates or hours
-        old = spark.read.schema(schema).parquet(path).filter(F.col(part).isin(touched))
-        new = cut(upsert(old, new, keys))
-    replace_partitions(new, path, [part], rebalance=True)
+    with Workspace(spark, "upsert") as work:
+        new = work.keep(new)
+        if path_exists(spark, path):
+            touched = [r[0] for r in new.select(part).distinct().collect()]  # a few dates or hours
+            old = spark.read.schema(schema).parquet(path).filter(F.col(part).isin(touched))
+            new = work.keep(upsert(old, new, keys))
+        replace_partitions(new, path, [part], rebalance=True)

@@ -49,3 +49,24 @@ def test_the_documented_command_starts():
     here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     done = subprocess.run([sys.executable, "-m", "payguard.jobs", "--help"], cwd=here, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0 and "recon" in done.stdout
+
+
+def test_a_job_runs_from_the_zipped_package(tmp_path):
+    """As a cluster gets it: the package as one archive, a process of its own for each job."""
+    import shutil
+    import subprocess
+    import sys
+
+    from test_tables import GOOD
+
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = shutil.make_archive(str(tmp_path / "payguard"), "zip", here, "payguard")
+    os.makedirs(tmp_path / "in")
+    (tmp_path / "in" / "1.txt").write_text("\n".join([GOOD % "a", GOOD % "b", "no json"]) + "\n")
+    env = {**os.environ, "PYTHONPATH": archive, "PYSPARK_SUBMIT_ARGS": f"--py-files {archive} --conf spark.ui.enabled=false --conf spark.checkpoint.dir={tmp_path}/shared pyspark-shell"}
+    run = [sys.executable, "-c", "from payguard.jobs import main; main()", "--root", str(tmp_path / "root")]
+    for job in (["bronze", "--files", str(tmp_path / "in")], ["dedup", "--files", str(tmp_path / "in")], ["gold", "merchant", "--mode", "merge"]):
+        done = subprocess.run([*run, *job], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+        assert done.returncode == 0, done.stderr[-2000:]
+    assert "{'merchant': 1}" in done.stdout
+    assert os.path.isdir(tmp_path / "root" / "silver_ids") and os.path.isdir(tmp_path / "root" / "counters")
