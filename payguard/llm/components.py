@@ -18,17 +18,18 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has two long columns ``u, v``. Each round links every node's larger neighbours to
     its smallest one (large star) and then its smaller neighbours (small star), until nothing
-    changes, which takes a number of rounds logarithmic in the size. A round is an aggregate
-    with map-side combine and a join by node, so a node with very many neighbours is split by
-    adaptive execution and never gathered. Between rounds the edges are checkpointed.
+    changes, which takes a number of rounds logarithmic in the size. The smallest neighbours come from an aggregate
+    with map-side combine and are checkpointed before they meet the edges: as a table of its own, a row a node, that
+    side of the join leaves adaptive execution free to split the edges of a node with very many neighbours,
+    such as a root in the last rounds. Between rounds the edges are checkpointed.
     """
     now = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = _state(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = cut(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
+        large = cut(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select(F.explode(F.array(
             F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         now = cut(small.select("e.u", "e.v").where("u <> v").distinct())

@@ -1,6 +1,6 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
-Every document gets a uniform 60-bit hash of its id. A source with target T and size S takes
+Every document gets a uniform 60-bit hash of its id and text. A source with target T and size S takes
 each document floor(T / S) times and, once more, those whose hash lies below a threshold. The
 threshold is found without sorting: sizes are summed by source and hash bucket, the running
 sum over at most 4,096 buckets a source names the bucket in which the budget ends, and only
@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from payguard.llm.common import documents, n_words, stored
+from payguard.llm.common import documents, n_words, stored, text_of
 
 # Fixed values of the recipe: weights by the sources' order, and the most passes over a source.
 WEIGHTS = (5, 2, 1)
@@ -53,8 +53,10 @@ def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, most: int = MO
     return rows
 
 
-def _hash(id_col: str) -> Column:
-    digits = F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("null"))), 1, 15)
+def _hash(id_col: str, text_col: str) -> Column:
+    """Of id and text, so that texts with one id, or without one, are told apart."""
+    named = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.md5(text_of(text_col).cast("binary")))
+    digits = F.substring(F.md5(named.cast("binary")), 1, 15)
     return F.conv(digits, 16, 10).cast("long")
 
 
@@ -62,7 +64,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
          weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """The mix, a row a source: ``s, source_size, target, passes, below`` (the hash threshold)."""
     spark = docs.sparkSession
-    rows = stored(docs.select(F.col(source_col).cast("string").alias("source"), n_words(text_col).alias("size"), _hash(id_col).alias("h")), "mix")
+    rows = stored(docs.select(F.col(source_col).cast("string").alias("source"), n_words(text_col).alias("size"), _hash(id_col, text_col).alias("h")), "mix")
     totals = [(r["source"], r["size"]) for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()]
     recipe = targets(totals, weights, most)
     wanted = [(r["source"], 0, r["rest"]) for r in recipe]
@@ -77,10 +79,10 @@ def _table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return F.broadcast(df) if len(rows) <= BROADCAST_SOURCES else df
 
 
-def with_copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", source_col: str = "source", most: int = MOST) -> DataFrame:
+def with_copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", source_col: str = "source", most: int = MOST, text_col: str = "text") -> DataFrame:
     """The rows with the columns of their source's ``plan`` and ``copies``; nothing is shuffled."""
     rows = docs.join(mixed, F.col(source_col).cast("string").eqNullSafe(F.col("s")))
-    return rows.withColumn("copies", F.least(F.lit(most), F.col("passes") + (_hash(id_col) < F.col("below")).cast("int")))
+    return rows.withColumn("copies", F.least(F.lit(most), F.col("passes") + (_hash(id_col, text_col) < F.col("below")).cast("int")))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -89,13 +91,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Returns ``doc_id, size, source, source_size, target, copies, taken`` for every row. Other
     columns are ignored. Null or empty texts have size 0 and copies like their hash says; rows
-    with one id share a hash, so repeated rows are taken or left together; a null id hashes
+    with one id and one text share a hash, so repeated rows are taken or left together; a null id hashes
     like the text "null". The threshold falls on the document border nearest the target. An
     empty table gives an empty result.
     """
     mixed = plan(docs, id_col, text_col, source_col, weights, most)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"))
-    out = with_copies(rows, mixed, most=most)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    out = with_copies(rows, mixed, most=most).withColumn("size", n_words("text"))
     return out.select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
@@ -136,7 +138,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = """
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS h
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS h
   FROM documents),
 s AS (
   SELECT source, sum(size) AS size,

@@ -102,7 +102,8 @@ def links(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFra
     """
     tables = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(masks(radius))])
     keys = nodes.select("fp", F.explode(tables).alias("key"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # a table of its own, so that adaptive execution may split the fingerprints of a frequent key
+    shared = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     rows = keys.join(shared, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     rows = rows.withColumn("b", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     meets = rows.select("key", "fp", "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))

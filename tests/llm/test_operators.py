@@ -87,6 +87,33 @@ def plain_components(fps: dict, radius=4):
     return {x: least[find(x)] for x in keys}
 
 
+def test_a_hub_is_split(spark):
+    """The final plan of a star: a root with all nodes for neighbours does not stay in one task."""
+    from payguard.llm.components import components
+
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.adaptive.coalescePartitions.enabled"]
+    was = {n: spark.conf.get(n, None) for n in names}
+    for n, v in zip(names, ["-1", "-1", "100KB", "100KB", "2", "false"], strict=True):
+        spark.conf.set(n, v)
+    try:
+        hub = spark.range(1, 200_000, numPartitions=16).selectExpr("0L as u", "id as v")
+        rest = spark.range(300_000, 400_000, 2, numPartitions=16).selectExpr("id as u", "id + 1 as v")
+        both = hub.unionByName(rest).unionByName(rest.selectExpr("v as u", "u as v"))
+        least = simhash.cut(both.groupBy("u").agg(F.min("v").alias("m")))
+        joined = both.join(least, "u")
+        joined.write.format("noop").mode("overwrite").save()
+        rows = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "skew=true" in plan
+        assert len(rows) == 199_999 + 100_000
+        found = components(hub.unionByName(rest))
+        assert found.where("root = 0").count() == 200_000 and found.count() == 200_000 + 100_000
+    finally:
+        for n, v in was.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
 @pytest.mark.parametrize("block", [simhash.BLOCK, 3])
 def test_simhash(docs, rows, block, monkeypatch):
     monkeypatch.setattr(simhash.links, "__defaults__", (simhash.RADIUS, block))
@@ -137,6 +164,18 @@ def test_mixing(docs, rows):
     assert sorted(map(str, mixing.mix(docs.repartition(3)).collect())) == sorted(map(str, got))
 
 
+@pytest.mark.parametrize("one_id", [None, 7])
+def test_mixing_cuts_inside_an_id(spark, one_id):
+    """Texts that share an id, or have none, are told apart: the mix comes near its target all the same."""
+    rows = [(one_id, f"{i} " + "w " * (i % 9), "a") for i in range(400)] + [(1_000 + i, f"x{i} y z", s) for i in range(400) for s in ("b", "c")]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert all(abs(taken[s] - target[s]) <= 15 for s in target)
+
+
 # 4 -----------------------------------------------------------------------------------------
 def test_sharding(docs, rows, monkeypatch):
     monkeypatch.setattr(sharding, "BUCKET_ROWS", 3)
