@@ -41,8 +41,10 @@ class IdIndex:
     def add(self, ids: DataFrame) -> None:
         """Ids (``payment_id, batch_id``) of one or more batches; replaces what the index had of those batches."""
         dealt = ids.select("payment_id", self.bucket().alias("bucket"), "batch_id")
-        # one file for a bucket and batch: every later batch opens them
-        tables.replace_partitions(dealt.repartition("bucket"), self.path, ["bucket", "batch_id"])
+        # one file for a bucket and batch, since every later batch opens them, written by as many tasks as can run:
+        # a number given keeps small batches from being put into one
+        tasks = min(self.buckets, ids.sparkSession.sparkContext.defaultParallelism)
+        tables.replace_partitions(dealt.repartition(tasks, "bucket"), self.path, ["bucket", "batch_id"])
 
     def touched(self, ids: DataFrame) -> list[int]:
         """Buckets the ids fall into; never more than there are."""

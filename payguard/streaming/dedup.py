@@ -163,13 +163,15 @@ def start(
             index.build(tables.read_table(spark, silver_path, SEEN).filter(F.col("batch_id") < batch_id))
         earlier = index.seen(decided, batch_id)
         new = tables.insert_if_absent(decided, earlier, order=dedup.arrival_columns(decided), new_rows=rows or None)
-        record = conform(dedup.silver_records(new), SILVER)
-        dated = record.withColumn("decision_date", F.to_date("decision_at")).withColumn("batch_id", F.lit(batch_id))
-        tables.replace_partitions(dated, silver_path, ["decision_date", "batch_id"])
-        own = spark.read.schema(dated.schema).parquet(silver_path).filter(F.col("batch_id") == batch_id)
-        index.add(own.select("payment_id", F.col("batch_id").cast("long").alias("batch_id")))
-        if publish is not None:
-            publish(messages.encode_decisions(own.select(*SILVER.fieldNames())), S.TOPIC_DECISIONS)
+        record = conform(dedup.silver_records(new), SILVER).persist()
+        try:
+            dated = record.withColumn("decision_date", F.to_date("decision_at")).withColumn("batch_id", F.lit(batch_id))
+            tables.replace_partitions(dated, silver_path, ["decision_date", "batch_id"])
+            index.add(record.select("payment_id", F.lit(batch_id).cast("long").alias("batch_id")))
+            if publish is not None:
+                publish(messages.encode_decisions(record), S.TOPIC_DECISIONS)
+        finally:
+            record.unpersist()
         return decided
 
     def count(decided: DataFrame | None, events: DataFrame, rows: int, errors: int, batch_id: int) -> None:
