@@ -432,14 +432,14 @@ def stream_dedup_stateful(spark, d):
 
 def _in_batches(spark, df, base, start, at="ingested_at", parts=4, again_as=lambda rows: rows, wait=lambda q: q.awaitTermination()):
     """The rows as micro-batches: by arrival in equal spans, the second part delivered again
-    with the last one, changed by ``again_as``. Each span is written with its own partitions, then ``start``, given the
+    with the last one, changed by ``again_as`` (None: not again). Each span is written with its own partitions, then ``start``, given the
     stream over the folder, takes the files it has not seen as one batch of the same checkpoint."""
     low, high = df.agg(F.unix_micros(F.min(at)), F.unix_micros(F.max(at))).first()
     span = (high - low) // parts + 1
     part = ((F.unix_micros(at) - low) / span).cast("int")
     for i in range(parts):
         rows = df.where(part == i)
-        if i == parts - 1:
+        if i == parts - 1 and again_as:
             rows = rows.unionByName(again_as(df.where(part == 1)))
         rows.write.mode("append").parquet(f"{base}/in")
         wait(start(spark.readStream.schema(df.schema).parquet(f"{base}/in")))
@@ -491,8 +491,8 @@ def stream_dedup_stateful_moved_batches(spark, d):
     return spark.read.parquet(f"{base}/silver").select("payment_id", "idempotency_key", "dedup_status", "original_payment_id")
 
 
-# The topic of the replay keeps messages for so long, enough for the part delivered again.
-REPLAY_RETENTION = 16 * 86_400
+# The topic of the replay keeps messages for a day: most keys expire between the batches.
+REPLAY_RETENTION = 86_400
 
 
 def _evicting(spark, d, name):
@@ -500,7 +500,7 @@ def _evicting(spark, d, name):
     base = run_dir(spark, name)
     _in_batches(spark, _coarse_events(spark, d), base, lambda stream: stateful.start(
         stream, f"{base}/silver", f"{base}/offsets", retention=REPLAY_RETENTION, clock="ingested_at",
-        partitions=spark.sparkContext.defaultParallelism), wait=stateful.await_without_loss)
+        partitions=spark.sparkContext.defaultParallelism), again_as=None, wait=stateful.await_without_loss)
     return base
 
 
@@ -511,7 +511,7 @@ def stream_dedup_stateful_evict(spark, d):
 
 
 def stream_state_after_evict(spark, d):
-    """What the state still holds then: keys whose acceptance was in force at the last watermark or later."""
+    """What the state still holds then: keys whose acceptance was in force at the last watermark or later; the others are cleared."""
     base = _evicting(spark, d, "stream-evict-state")
     return stateful.held_keys(spark, f"{base}/offsets")
 

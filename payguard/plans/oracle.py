@@ -376,7 +376,7 @@ select bronze_total = silver_total as counts_match,
   select d.idempotency_key, d.payment_id, ts as accepted_at, (select max(ts) from events) as newest
   from decided d join events on d.payment_id = 'pay_' || event_id where dedup_status = 'ACCEPTED'
 ) select idempotency_key, payment_id, accepted_at from times
-where accepted_at + interval 24 hour > newest - interval 16 day
+where accepted_at + interval 24 hour > newest - interval 1 day
 qualify row_number() over (partition by idempotency_key order by accepted_at desc) = 1""",
     "stream_running_counts": f"""{BASE}, {_FAULTY}, span as (
   select epoch_us(min(ingested_at)) as low, (epoch_us(max(ingested_at)) - epoch_us(min(ingested_at))) // 4 + 1 as width from payments
