@@ -430,7 +430,7 @@ def stream_dedup_stateful(spark, d):
     return spark.read.parquet(f"{base}/silver").select("payment_id", "dedup_status", "original_payment_id")
 
 
-def _in_batches(spark, df, base, start, at="ingested_at", parts=4, again_as=lambda rows: rows, wait=lambda q: q.awaitTermination()):
+def _in_batches(spark, df, base, start, at="ingested_at", parts=4, again_as=lambda rows, again: rows, wait=lambda q: q.awaitTermination()):
     """The rows as micro-batches: by arrival in equal spans, the second part delivered again
     with the last one, changed by ``again_as`` (None: not again). Each span is written with its own partitions, then ``start``, given the
     stream over the folder, takes the files it has not seen as one batch of the same checkpoint."""
@@ -438,9 +438,10 @@ def _in_batches(spark, df, base, start, at="ingested_at", parts=4, again_as=lamb
     span = (high - low) // parts + 1
     part = ((F.unix_micros(at) - low) / span).cast("int")
     for i in range(parts):
-        rows = df.where(part == i)
-        if i == parts - 1 and again_as:
-            rows = rows.unionByName(again_as(df.where(part == 1)))
+        again = (part == 1) if i == parts - 1 and again_as else F.lit(False)
+        rows = df.where((part == i) | again)
+        if again_as:
+            rows = again_as(rows, again)
         rows.write.mode("append").parquet(f"{base}/in")
         wait(start(spark.readStream.schema(df.schema).parquet(f"{base}/in")))
 
@@ -470,9 +471,9 @@ def stream_dedup_stateful_batches(spark, d):
     return spark.read.parquet(f"{base}/silver").select("payment_id", "idempotency_key", "dedup_status", "original_payment_id")
 
 
-def _moved(rows):
+def _moved(rows, again):
     """Messages delivered again under another key than the first time."""
-    return rows.withColumn("idempotency_key", F.concat("idempotency_key", F.lit("|moved")))
+    return rows.withColumn("idempotency_key", F.when(again, F.concat("idempotency_key", F.lit("|moved"))).otherwise(F.col("idempotency_key")))
 
 
 def stream_dedup_moved_batches(spark, d):
