@@ -34,6 +34,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 CACHE = 250_000  # stretches a worker keeps, some 60 MB; longer ones than LONG are not kept
 LONG = 64
+AGREES = 2_000_000  # pairs of pieces a worker remembers, some 200 MB at most
 ROWS = 256  # documents encoded before their results are handed on
 
 
@@ -111,7 +112,7 @@ class PieceModel:
         chars = "".join(map(re.escape, (p for p in self.ids if len(p) == 1)))
         self.runs = re.compile(f"[{chars}]+|[^{chars}]", re.S)
         self.longest = max(map(len, self.ids))
-        self.agrees: dict[int, bool] = {}  # pairs of pieces: some 10^5 in practice
+        self.agrees: dict[int, bool] = {}  # pairs of pieces, up to AGREES of them: some 10^5 in practice
         self.splits: dict[int, tuple[int, int] | None] = {}
         self.length = [len(p) for p, _, _ in self.pieces]
         self.path: dict[str, int] = {}
@@ -214,17 +215,19 @@ class PieceModel:
         """Ids of a text whose characters are all pieces."""
         n, most, prefix = len(text), self.longest, self.automaton.longest_prefix
         paths, shorter, length, agrees = self.path, self.shorter, self.length, self.agrees
-        open_places = (1 << (n + 1)) - 1
+        failed = bytearray((n >> 3) + 1)  # a bit a place from which no encoding goes on
         out: list[int] = []
         at, before = 0, -1
         piece = paths[text[: prefix(text[:most])]]
         while at < n:
             while piece >= 0:
                 end = at + length[piece]
-                if open_places >> end & 1:
+                if not failed[end >> 3] >> (end & 7) & 1:
                     key = (before << 32) + piece
                     agree = agrees.get(key)
                     if agree is None:
+                        if len(agrees) >= AGREES:
+                            agrees.clear()
                         agree = agrees[key] = self._agree(before, piece)
                     if agree:
                         break
@@ -236,7 +239,7 @@ class PieceModel:
                     ahead = text[at : at + most]
                     piece = paths[ahead[: prefix(ahead)]]
             else:
-                open_places &= ~(1 << at)
+                failed[at >> 3] |= 1 << (at & 7)
                 last = out.pop()
                 at -= length[last]
                 piece = shorter[last]

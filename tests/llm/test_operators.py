@@ -345,6 +345,38 @@ def test_pieces_on_odd_texts():
         assert ids == lib.encode(t) and model.decode(ids) == lib.decode(ids)
 
 
+def test_a_million_characters_without_a_space():
+    """Time in proportion to the text: each place is looked at a bounded number of times."""
+    import random
+    import time
+
+    import numpy as np
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
+    with open(pieces.model_path(), "rb") as f:
+        model = pieces.PieceModel(f.read())
+    text = "".join(random.Random(1).choice("etaoinshrdlu") for _ in range(1_000_000))
+    start = time.process_time()
+    ids = np.frombuffer(model.encode(text), "<u4")
+    assert time.process_time() - start < 10
+    assert ids.tolist() == lib.encode(text)
+
+
+def test_pairs_remembered_are_bounded(monkeypatch):
+    monkeypatch.setattr(pieces, "AGREES", 50)
+    with open(pieces.model_path(), "rb") as f:
+        model = pieces.PieceModel(f.read())
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
+    text = "internationalisation of encyclopaedias, notwithstanding 日本語 " * 20
+    import array
+
+    assert array.array("I", model.encode(text)).tolist() == lib.encode(text)
+    assert len(model.agrees) <= 50
+
+
 # 9 -----------------------------------------------------------------------------------------
 def test_quality_measures(docs, rows):
     want = Counter()
