@@ -16,16 +16,24 @@ from payguard.llm.common import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SCORE = 0.5
+# Documents that travel to a Python worker at once: whole texts, some of them very long, so far fewer than Spark's 10,000.
+BATCH_ROWS = 1_000
 ORACLE_SQL = None
 
 
+def _documents(docs: DataFrame) -> DataFrame:
+    """The columns of ``documents``, in batches that keep a worker's memory small."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return docs.select(*COLUMNS)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognisable language go: no letter, or a pooled probability below one half.
 
     Where nothing can be learned (no label, or every labelled document held out), only null texts
     and those without a letter go.
     """
-    docs = docs.select(*COLUMNS)
+    docs = _documents(docs)
     model = language.train(docs)
     if model is None:
         return language.lettered(docs)
@@ -39,7 +47,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Near duplicates have a similarity of 0.8 or more in their five-word shingles.
     """
-    docs = docs.select(*COLUMNS)
+    docs = _documents(docs)
     found = resemblance.near_duplicates(docs)
     stay = found.where("stays").select("i", "h1", "h2").distinct()
     keyed = docs.select(*COLUMNS, *resemblance.row_key())
@@ -48,20 +56,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 100 bytes that also start earlier are cut; the rest of each document stays."""
-    cut = suffixes.cleaned(docs.select(*COLUMNS))
+    cut = suffixes.cleaned(_documents(docs))
     return cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text")).otherwise(F.col("n_chars")).cast("long")).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: none to three rows each."""
-    docs = docs.select(*COLUMNS)
+    docs = _documents(docs)
     rows = mixing.with_copies(docs, mixing.plan(docs)).where("copies > 0")
     return rows.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's ids, with begin and end, and the text they decode to."""
-    return pieces.encode_documents(docs, pieces.model_path())
+    return pieces.encode_documents(_documents(docs), pieces.model_path())
 
 
 STAGES = [
