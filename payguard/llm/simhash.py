@@ -59,16 +59,23 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` of every row, the fingerprint as a signed long; one pass, no shuffle."""
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    """``i, h1, h2``: the id (null is the least number) and two hashes of the text; equal for equal rows."""
+    return [whole_id(id_col).alias("i"), F.xxhash64(F.lit(1), text_col).alias("h1"), F.xxhash64(F.lit(2), text_col).alias("h2")]
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """``doc_id, fp`` of every row, the fingerprint as a signed long, and its ``row_key`` if ``keyed``; one pass, no shuffle."""
+    more = ["h1", "h2"] if keyed else []
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             fp = np.array([fingerprint(t, shingle) for t in frame["t"]], np.uint64)
-            yield pd.DataFrame({"doc_id": frame["i"], "fp": fp.view(np.int64)})
+            yield pd.DataFrame({"doc_id": frame["i"], "fp": fp.view(np.int64), **{c: frame[c] for c in more}})
 
-    rows = docs.select(whole_id(id_col).alias("i"), F.col(text_col).alias("t"))
-    return rows.mapInPandas(run, "doc_id long, fp long").select(null_id("doc_id"), "fp")
+    rows = docs.select(*row_key(id_col, text_col)[: 1 + len(more)], F.col(text_col).alias("t"))
+    out = rows.mapInPandas(run, "doc_id long, fp long" + "".join(f", {c} long" for c in more))
+    return out.select(null_id("doc_id"), "fp", *([F.col("doc_id").alias("i"), *more] if keyed else []))
 
 
 def masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
@@ -129,8 +136,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     unless all are null. Other columns are ignored; an empty table gives an empty result.
     """
     fps = stored(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = cut(components(links(nodes, radius)))
+    nodes, roots = _linked(fps, radius)
     linked = nodes.join(roots, F.col("fp") == F.col("node"))
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     linked = roots.join(least, "root").select(F.col("node").alias("fp"), "least")
@@ -138,6 +144,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _linked(fps: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct fingerprints, with their least id, and the root of each one that has a link."""
+    nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    return nodes, cut(components(links(nodes, radius)))
+
+
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``i, h1, h2`` (``row_key``) of the one document that stays of each component of ``near_duplicates``.
+
+    It is the one with the smallest id, a null one last, and of one id the text with the least hashes; equal rows
+    have one key. Components go by their root, not by an id, so neither null nor repeated ids join or part them.
+    Other columns are ignored; an empty table gives an empty result.
+    """
+    fps = stored(fingerprints(docs, id_col, text_col, shingle, keyed=True), "simhash-rows")
+    _, roots = _linked(fps, radius)
+    # one row for each distinct fingerprint before the components meet
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "i", "h1", "h2")
+    first = fps.groupBy("fp").agg(F.min(order).alias("x"))
+    of = first.join(roots, F.col("fp") == F.col("node"), "left").select(F.coalesce("root", "fp").alias("root"), "x")
+    return of.groupBy("root").agg(F.min("x").alias("x")).select("x.i", "x.h1", "x.h2")
+
+
 def hex_digits(fp: str | Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
