@@ -2,7 +2,7 @@
 
 Every stage gets what its predecessor kept, written as Parquet and read again, and all but the
 last return the columns of ``documents``. No stage can be said in SQL (a trained network, linked
-shingle sets, byte spans, exact encoding), so there is no SQL counterpart; tests compare each
+fingerprints, byte spans, exact encoding), so there is no SQL counterpart; tests compare each
 stage with a plain version.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payguard.llm import language, mixing, pieces, resemblance, suffixes
+from payguard.llm import language, mixing, pieces, simhash, suffixes
 from payguard.llm.common import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -43,32 +43,42 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates one document stays: the smallest id, a null one last, and of
-    one id the text with the least hash; of repeated rows one.
+    one id the text with the least hashes; of repeated rows one.
 
-    Near duplicates have a similarity of 0.8 or more in their five-word shingles.
+    Near duplicates are linked as ``op2_simhash`` links them, by fingerprints of four-word shingles that differ in
+    four bits or fewer. Null, empty and blank texts are one group. Of rows equal in id and text the one with
+    the least lang, source and n_chars stays, null first. An empty table gives an empty result.
     """
     docs = _documents(docs)
-    found = resemblance.near_duplicates(docs)
-    stay = found.where("stays").select("i", "h1", "h2").distinct()
-    keyed = docs.select(*COLUMNS, *resemblance.row_key())
-    return keyed.join(stay, ["i", "h1", "h2"]).dropDuplicates(["i", "h1", "h2"]).select(*COLUMNS)
+    stay = simhash.survivors(docs)
+    key = ["i", "h1", "h2"]
+    keyed = docs.select(*simhash.row_key(), *COLUMNS).join(stay, key)
+    rest = [c for c in COLUMNS if c != "text"]
+    # equal rows but for these columns: one of them, the same in every run
+    first = keyed.groupBy(*key).agg(F.min(F.struct("lang", "source", "n_chars")).alias("r"), F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    return first.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"r.{c}") if c in rest else F.col(c) for c in COLUMNS])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 100 bytes that also start earlier are cut; the rest of each document stays."""
+    """Passages of 100 bytes that also start earlier are cut; the rest of each document stays.
+
+    A null text stays null, an empty one empty; a document that is cut to nothing goes (see ``suffixes.cleaned``). Of
+    repeated rows the first keeps its text. An empty table gives an empty result."""
     cut = suffixes.cleaned(_documents(docs))
     return cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text")).otherwise(F.col("n_chars")).cast("long")).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: none to three rows each."""
+    """Documents as often as the mix takes them: none to three rows each. Null and empty texts have no words and
+    come as their hash says; repeated rows come or stay out together. An empty table gives an empty result."""
     docs = _documents(docs)
     rows = mixing.with_copies(docs, mixing.plan(docs)).where("copies > 0")
     return rows.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's ids, with begin and end, and the text they decode to."""
+    """Each document's ids, with begin and end, and the text they decode to; null texts are encoded like empty ones, each
+    repeated row has its own. An empty table gives an empty result."""
     return pieces.encode_documents(_documents(docs), pieces.model_path())
 
 
