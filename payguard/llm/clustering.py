@@ -1,9 +1,9 @@
 """Centroid clustering of integer vectors over a VA-file.
 
-Every vector is compressed once to a cell of four bits per component, two components a byte. In
-a round the driver's centroids become lookup tables: for each byte of cells and each centroid the
-least and the greatest squared distance any vector in those cells can have. Summed over the
-bytes they bound a vector's distance to every centroid; where the least upper bound lies below
+Every vector is compressed once to a cell of six bits per component, kept in a byte. In
+a round the driver's centroids become lookup tables: for each component, cell and centroid the
+least and the greatest squared distance any value in that cell can have. Summed over the
+components they bound a vector's distance to every centroid; where the least upper bound lies below
 all other lower bounds the cluster is known from the cells alone, and only where intervals
 overlap is the full vector fetched and measured. Cell edges come from at most ``SAMPLE`` vectors
 with the least hashes; they decide how much is fetched, never a result, since values beyond the
@@ -36,7 +36,7 @@ from payguard.llm.common import stored
 DIMENSIONS, CENTROIDS, ROUNDS, SCALE = 64, 16, 3, 64
 SAMPLE = 1_024
 LIMIT = 1 << 27
-BITS = 4
+BITS = 6  # of a cell; with fewer, nearly every vector of the test tables had to be fetched, see the README
 CELLS = 1 << BITS
 BATCH = 2_048  # vectors bounded at once
 
@@ -68,26 +68,24 @@ def first_vectors(vectors: DataFrame, n: int) -> np.ndarray:
 
 
 def cell_edges(sample: np.ndarray) -> np.ndarray:
-    """Edges by component, ascending: quantiles of the sample between its padded extremes."""
+    """Edges by component, ascending and evenly spaced between the sample's slightly padded extremes."""
     low, high = sample.min(0), sample.max(0)
-    pad = (high - low) // 4 + 1
-    inner = np.quantile(sample, np.linspace(0, 1, CELLS - 1)[1:-1], axis=0, method="lower").astype(np.int64)
-    return np.vstack([low - pad, inner, high + pad + 1]).T.copy()
+    pad = (high - low) // 16 + 1
+    width = -(-(high - low + 2 * pad) // (CELLS - 2))
+    return (low - pad)[:, None] + width[:, None] * np.arange(CELLS - 1)
 
 
 def cells_of(v: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """Cells of vectors, two components a byte."""
+    """Cells of vectors, one a byte."""
     cells = np.empty(v.shape, np.uint8)
     for d in range(v.shape[1]):
         cells[:, d] = np.searchsorted(edges[d], v[:, d], side="right")
-    if v.shape[1] % 2:
-        cells = np.hstack([cells, np.zeros((len(v), 1), np.uint8)])
-    return cells[:, ::2] << BITS | cells[:, 1::2]
+    return cells
 
 
 @dataclass
 class Tables:
-    """Distance bounds by byte of cells: (byte, value, centroid)."""
+    """Distance bounds: (component, cell, centroid)."""
 
     centroids: np.ndarray
     low: np.ndarray
@@ -95,25 +93,21 @@ class Tables:
 
     @classmethod
     def of(cls, centroids: np.ndarray, edges: np.ndarray) -> Tables:
-        k, dims = centroids.shape
+        dims = centroids.shape[1]
         first = np.hstack([np.full((dims, 1), -LIMIT), edges])[:, :, None]
         last = np.hstack([edges - 1, np.full((dims, 1), LIMIT)])[:, :, None]
         c = centroids.T[:, None, :]
         low = np.square(np.maximum(np.maximum(first - c, c - last), 0))
         high = np.square(np.maximum(np.abs(c - first), np.abs(c - last)))
-        if dims % 2:
-            none = np.zeros((1, CELLS, k), np.int64)
-            low, high = np.vstack([low, none]), np.vstack([high, none])
-        pair = lambda t: (t[::2, :, None] + t[1::2, None, :]).reshape(-1, CELLS * CELLS, k)
-        return cls(centroids, pair(low), pair(high))
+        return cls(centroids, low, high)
 
     def overlapping(self, cells: np.ndarray) -> np.ndarray:
         """Which centroids may be nearest, by row: those whose interval reaches the least upper bound."""
         shape = (len(cells), self.low.shape[2])
         low, high = np.zeros(shape, np.int64), np.zeros(shape, np.int64)
-        for b in range(cells.shape[1]):
-            low += self.low[b].take(cells[:, b], 0)
-            high += self.high[b].take(cells[:, b], 0)
+        for d in range(cells.shape[1]):
+            low += self.low[d].take(cells[:, d], 0)
+            high += self.high[d].take(cells[:, d], 0)
         return low <= high.min(1)[:, None]
 
     def distance(self, v: np.ndarray, cluster: np.ndarray) -> np.ndarray:
@@ -160,12 +154,11 @@ def _parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.R
 def cluster_sums(table: DataFrame, centroids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Count and component sums of each cluster, and the number of vectors fetched for comparison."""
     k, dims = centroids.shape
-    width = (dims + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = Tables.of(centroids, edges)
         sums, counts, fetched = np.zeros((k, dims), np.int64), np.zeros(k, np.int64), 0
-        for batch, cells in _parts(batches, width):
+        for batch, cells in _parts(batches, dims):
             v = _vectors(batch["v"], dims).astype(np.int64)
             cluster, asked = tables.nearest(cells, v.__getitem__)
             fetched += asked
@@ -186,11 +179,10 @@ def cluster_sums(table: DataFrame, centroids: np.ndarray, edges: np.ndarray) ->
 def assigned(table: DataFrame, centroids: np.ndarray, edges: np.ndarray) -> DataFrame:
     """``vec_id, cluster, distance`` of every vector."""
     dims = centroids.shape[1]
-    width = (dims + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = Tables.of(centroids, edges)
-        for batch, cells in _parts(batches, width):
+        for batch, cells in _parts(batches, dims):
             v = _vectors(batch["v"], dims).astype(np.int64)
             cluster, _ = tables.nearest(cells, v.__getitem__)
             yield pa.RecordBatch.from_arrays([batch["vec_id"], pa.array(cluster, pa.int32()), pa.array(tables.distance(v, cluster))], ["vec_id", "cluster", "distance"])
