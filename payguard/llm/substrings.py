@@ -54,19 +54,19 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     whole = blocks.join(alike.where("n > 1").select("anchor", "h"), ["anchor", "h"]).select(
         "id", "v", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
     # blocks that share an anchor but are not equal climb the levels, each standing for its copies
-    several = alike.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("fewest")).where("m > 1 AND fewest = 1").select("anchor")
-    live = stored(with_contents(rows, alike.join(several, "anchor"), units, seed, window), "words-0")
+    several = stored(alike.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("fewest")).where("m > 1 AND fewest = 1").select("anchor"), "words-several")
+    live = stored(with_contents(rows, alike.join(several, "anchor"), units, seed, window), "words-0", several)
     last = live
     live = live.select("n", "id", "v", "start", "at", F.col("block").cast("string").alias("block"),
                        F.lit(0).alias("o1"), (F.col("size") - window).alias("o2"))
     for length in levels(window, seed):
-        live = last = stored(_climb(live, length, window, seed), f"words-{length}", last)
+        live = last = _climb(live, length, window, seed, last)
     single = live.where("n = 1").select("id", "v", (F.col("start") + F.col("o1")).alias("a"), (F.col("start") + F.col("o2") + window).alias("b"))
     return stored(by_document(whole.unionByName(single)), "words-spans", blocks, alike, last)
 
 
-def _climb(live: DataFrame, length: int, window: int, seed: int) -> DataFrame:
-    """The live windows whose run of ``length`` words around the anchor is repeated.
+def _climb(live: DataFrame, length: int, window: int, seed: int, last: DataFrame) -> DataFrame:
+    """The live windows whose run of ``length`` words around the anchor is repeated; the table ``last`` is deleted.
 
     A window with its anchor at place q takes the run that starts ``back`` words before the
     anchor, which depends on q alone, so equal windows take equal runs.
@@ -84,8 +84,9 @@ def _climb(live: DataFrame, length: int, window: int, seed: int) -> DataFrame:
     run = F.array_join(F.slice("words", F.col("at") - F.col("p.back") + 1, length), " ")
     above = ["at", "block"] if length < window else []  # what a further level needs
     rows = rows.select("n", "id", "v", "start", *above, "p.o1", "p.o2", F.struct(F.col("p.back"), F.md5(run.cast("binary"))).alias("k"))
-    often = rows.groupBy("k").agg(F.sum("n").alias("total")).where("total > 1").select("k")
-    return rows.join(often, "k").drop("k")
+    # a table of its own, so that adaptive execution may split the windows of a frequent run
+    often = stored(rows.groupBy("k").agg(F.sum("n").alias("total")).where("total > 1").select("k"), f"words-{length}-often")
+    return stored(rows.join(often, "k").drop("k"), f"words-{length}", last, often)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:

@@ -6,12 +6,16 @@ need no look. Equal blocks are aggregated first: all their occurrences but the f
 repeats. The distinct blocks that share an anchor are laid end to end in shards of bounded
 size; each shard's suffix array is sorted by induction, the permuted common prefixes give runs
 of suffixes that share 100 bytes, and of each run all but the earliest are repeats. A block
-without another that has the same anchor and the same bytes on one side of it is left out.
+without another that has the same anchor and the same bytes on one side of it is left out. An anchor that
+more distinct blocks share than a shard should hold is cut by what stands around it: windows with
+the anchor in their left half share more bytes on its right, the others on its left, and halving
+goes on until the groups are small enough to be sorted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,8 +26,8 @@ from payguard.llm.anchors import Units, by_document, distinct_blocks, keyed, rep
 from payguard.llm.common import NULL_ID, documents, merge_spans, stored
 
 WINDOW, SEED = 100, 16
-# Bytes a shard should hold, and the distinct blocks of one anchor above which its windows are
-# compared by 128-bit hashes in an aggregate, window by window, as no shard could hold them.
+# Bytes a shard should hold, and the distinct blocks of one anchor above which they are cut into
+# halves that share more than the anchor, as no shard could hold them.
 SHARD_BYTES, HOT_BLOCKS = 1_000_000, 5_000
 
 
@@ -204,14 +208,56 @@ def _sorted_shards(blocks: DataFrame, window: int, shards: int) -> DataFrame:
     return dealt.groupBy("shard").applyInPandas(run, "id long, v long, a long, b long")
 
 
-def _hashed_windows(blocks: DataFrame, window: int) -> DataFrame:
-    """The same for blocks of an anchor that too many distinct blocks share: window by window, by hash."""
-    at = F.explode(F.sequence(F.lit(0), F.octet_length("block") - window)).alias("o")
-    rows = blocks.select("id", "v", "start", "block", at)
-    rows = rows.select("id", "v", (F.col("start") + F.col("o")).alias("a"), F.md5(F.substring(F.col("block"), F.col("o") + 1, F.lit(window))).alias("k"))
-    first = rows.groupBy("k").agg(F.min(F.struct("id", "v", "a")).alias("x"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    late = rows.join(first, "k").where(F.struct("id", "v", "a") > F.col("x"))
-    return late.select("id", "v", "a", (F.col("a") + window).alias("b"))
+def _halved(blocks: DataFrame, window: int) -> DataFrame:
+    """The blocks cut in two where their anchor lies in the window: in its left or its right half of places ``lo..hi``.
+
+    The windows of a half have the more bytes around the anchor in common, ``window`` less the width of the half; the
+    anchor and these bytes, hashed, are the new ``anchor``. ``h`` is a hash of the half's contents.
+    """
+    half = lambda lo, hi: F.struct(
+        lo.alias("lo"), hi.alias("hi"), F.greatest(F.lit(0), F.col("at") - hi).alias("o1"),
+        F.least(F.octet_length("block") - window, F.col("at") - lo).alias("o2"))
+    middle = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
+    halves = F.filter(F.array(half(F.col("lo"), middle), half(middle + 1, F.col("hi"))), lambda p: (p["o1"] <= p["o2"]) & (p["lo"] <= p["hi"]))
+    rows = blocks.withColumn("p", F.explode(halves))
+    common = F.substring(F.col("block"), F.col("at") - F.col("p.lo") + 1, F.col("p.lo") - F.col("p.hi") + window)
+    part = F.substring(F.col("block"), F.col("p.o1") + 1, F.col("p.o2") - F.col("p.o1") + window)
+    return rows.select(F.xxhash64("anchor", "p.lo", common).alias("anchor"), F.md5(part).alias("h"), "id", "v", (F.col("start") + F.col("p.o1")).alias("start"),
+                       (F.col("at") - F.col("p.o1")).alias("at"), "p.lo", "p.hi", part.alias("block"))
+
+
+def _narrowed(blocks: DataFrame, window: int, seed: int, hot: int) -> tuple[list[DataFrame], list[DataFrame], list[DataFrame]]:
+    """Blocks of anchors that more than ``hot`` distinct ones share, cut until each group is small enough to be sorted.
+
+    Halving goes on while a group has more than ``hot`` distinct parts; it ends with a single place, where a group's
+    windows have all their bytes in common and are one part. Equal parts are aggregated to the earliest; the others
+    are repeats. Gives tables of blocks to sort, of repeats ``id, v, a, b``, and all tables to delete once both are used.
+    """
+    rest = blocks.select("anchor", "id", "v", "start", "at", F.lit(0).alias("lo"), F.lit(window - seed).alias("hi"), "block")
+    cool, late, tables = [], [], []
+    for width in _widths(window - seed + 1):
+        if rest.isEmpty():
+            break
+        parts = stored(_halved(rest, window), "bytes-halves")
+        place = F.struct("id", "v", "start")
+        first = stored(parts.groupBy("anchor", "h").agg(F.min(place).alias("x"), *[F.first(c).alias(c) for c in ("at", "lo", "hi", "block")]), "bytes-parts")
+        several = stored(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "bytes-groups")
+        tables += [parts, first, several]
+        late.append(parts.join(first.select("anchor", "h", "x"), ["anchor", "h"]).where(place > F.col("x")).select(
+            "id", "v", F.col("start").alias("a"), (F.col("start") + F.octet_length("block")).alias("b")))
+        shared = first.join(several, "anchor").select("anchor", "x.*", "at", "lo", "hi", "block", "m")
+        fits = F.col("m") <= hot if width > 1 else F.lit(True)
+        cool.append(shared.where(fits).select("anchor", "id", "v", "start", "block"))
+        rest = shared.where(~fits).drop("m")
+    return cool, late, tables
+
+
+def _widths(n: int) -> list[int]:
+    """Places in the wider half at each halving of ``n``, down to one."""
+    out = [-(-n // 2)]
+    while out[-1] > 1:
+        out.append(-(-out[-1] // 2))
+    return out
 
 
 def repeated_spans(rows: DataFrame, window: int = WINDOW, seed: int = SEED, hot: int = HOT_BLOCKS) -> DataFrame:
@@ -222,14 +268,15 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, seed: int = SEED, hot:
     first = distinct_blocks(blocks, "bytes-distinct")
     again = blocks.join(first.where("n > 1").select("anchor", "h", F.struct("id", "v", "start").alias("x")), ["anchor", "h"])
     again = again.where(F.struct("id", "v", "start") > F.col("x")).select("id", "v", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
-    several = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    near = stored(with_contents(rows, first.join(several, "anchor").select("anchor", "id", "v", "start", "at", "size", "m"), units, seed, window), "bytes-near")
-    near = stored(with_company(near).select("anchor", "id", "v", "start", "block", "m"), "bytes-company", near)
-    cool, warm = near.where(F.col("m") <= hot), near.where(F.col("m") > hot)
-    size = cool.agg(F.coalesce(F.sum(F.octet_length("block")), F.lit(0))).first()[0]
-    shards = max(1, -(-size // SHARD_BYTES))
-    spans = again.unionByName(_sorted_shards(cool, window, shards)).unionByName(_hashed_windows(warm, window))
-    return stored(by_document(spans), "bytes-spans", blocks, first, near)
+    # a table of its own, so that adaptive execution may split the blocks of a frequent anchor
+    several = stored(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "bytes-several")
+    near = stored(with_contents(rows, first.join(several, "anchor").select("anchor", "id", "v", "start", "at", "size", "m"), units, seed, window), "bytes-near", several)
+    near = with_company(near, "bytes-company")
+    cool, late, tables = _narrowed(near.where(F.col("m") > hot), window, seed, hot)
+    dealt = reduce(DataFrame.unionByName, cool, near.where(F.col("m") <= hot).select("anchor", "id", "v", "start", "block"))
+    size = dealt.agg(F.coalesce(F.sum(F.octet_length("block")), F.lit(0))).first()[0]
+    spans = reduce(DataFrame.unionByName, late, again.unionByName(_sorted_shards(dealt, window, max(1, -(-size // SHARD_BYTES)))))
+    return stored(by_document(spans), "bytes-spans", blocks, first, near, *tables)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import array
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -432,6 +433,23 @@ def test_suffix_arrays(docs, rows, window, seed, hot, shard, monkeypatch):
     assert Counter((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got) == plain_earlier(rows, window)
 
 
+def test_a_passage_in_ten_thousand_blocks_is_sorted_in_shards(spark):
+    """Phrases between neighbours from a few hundred left and right ones: blocks differ, their halves often don't."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    some = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    phrase, left, right = some(40), [some(70) for _ in range(300)], [some(70) for _ in range(300)]
+    pairs = rng.sample([(a, b) for a in left for b in right], 10_000)
+    rows = [(i, a + phrase + b + (some(30) if i % 2 else "")) for i, (a, b) in enumerate(pairs)]
+    got = suffixes.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    assert Counter((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got) == plain_earlier(rows, 100)
+
+
+def test_halves_of_an_anchor_s_places():
+    assert suffixes._widths(85) == [43, 22, 11, 6, 3, 2, 1]
+    assert suffixes._widths(1) == [1]
+
+
 def test_sorted_by_induction():
     import random
 
