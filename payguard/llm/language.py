@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from payguard.llm.common import documents, text_of
 
 UNKNOWN = "und"
-# Bounds of the training sample: documents a language, and code points of each.
+# Usual bounds of the training sample: documents a language, and code points of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 400, 1_200
 HIDDEN, WINDOW = 8, 128
 TRAIN_WINDOW, TRAIN_BATCH, STEPS, RATE = 64, 128, 260, 0.02
 LANES = 2_048  # windows that advance together
+PART_DOCS, PART_CHARS = 256, 1 << 20  # documents whose windows are laid out at once, and code points after which no further one joins them
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -192,38 +193,56 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list:
-    """At most 400 labelled documents a language that are not held out, 1,200 code points of each
-    from a place its hash names: those with the least hashes of the id, so reruns agree."""
+def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+           sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> list:
+    """At most ``sample_docs`` labelled documents a language that are not held out, ``sample_chars`` code points of each
+    from a place its hash names: those with the least hashes of id and text, so reruns agree. Rows equal in both are one."""
     rows = docs.where(~held_out(id_col)).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    h = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 40))
+    h = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col), F.col(text_col)), F.lit(1 << 40))
     rows = rows.select(F.col(lang_col).alias("lang"), h.alias("h"), F.col(text_col).alias("text"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not counts:
         return []
     share = F.lit(0.0)
     for lang, n in counts.items():  # a language a row: labels are few
-        share = F.when(F.col("lang") == lang, min(1.0, 2 * SAMPLE_DOCS / n)).otherwise(share)
-    start = 1 + F.pmod(F.col("h"), F.greatest(F.char_length("text") - SAMPLE_CHARS, F.lit(1)))
+        share = F.when(F.col("lang") == lang, min(1.0, 2 * sample_docs / n)).otherwise(share)
+    start = 1 + F.pmod(F.col("h"), F.greatest(F.char_length("text") - sample_chars, F.lit(1)))
     near = rows.where(F.col("h") < share * float(1 << 40)).select(
-        "lang", "h", F.substring(F.col("text"), start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text"))
+        "lang", "h", F.substring(F.col("text"), start.cast("int"), F.lit(sample_chars)).alias("text"))
+    near = near.groupBy("lang", "h").agg(F.min("text").alias("text"))
     taken: dict[str, list] = {}
-    for r in sorted(near.collect(), key=lambda r: (r["lang"], r["h"], r["text"])):  # some 800 a language
-        if len(taken.setdefault(r["lang"], [])) < SAMPLE_DOCS:
+    for r in sorted(near.collect(), key=lambda r: (r["lang"], r["h"])):  # some 2 * sample_docs a language
+        if len(taken.setdefault(r["lang"], [])) < sample_docs:
             taken[r["lang"]].append(r)
     return [r for rows in taken.values() for r in rows]
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteGru | None:
-    rows = sample(docs, id_col, text_col, lang_col)
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> ByteGru | None:
+    """A network fitted to ``sample``; None where nothing can be learned."""
+    rows = sample(docs, id_col, text_col, lang_col, sample_docs, sample_chars)
     return fit([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
+def _parts(texts: list, some: list[int]) -> Iterator[list[int]]:
+    """The places ``some`` in parts of bounded size; a longer text is a part of its own or the last of one."""
+    part, size = [], 0
+    for i in some:
+        part.append(i)
+        size += len(texts[i])
+        if len(part) == PART_DOCS or size >= PART_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def predict(docs: DataFrame, model: ByteGru | None, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` plus ``lang_pred`` and ``score``, the pooled probability of that language.
 
     A text that is null or has no letter is ``und`` with score 0, as is every text if nothing
-    was learned. Columns named like the new ones are replaced. Ties go to the first language in order.
+    was learned. Columns named like the new ones are replaced. Ties go to the first language in order. Equal texts get
+    equal labels, each repeated row its own; an empty table gives an empty result.
     """
     keep = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), "lang_pred string", "score double"])
@@ -236,8 +255,7 @@ def predict(docs: DataFrame, model: ByteGru | None, text_col: str = "text") -> D
             known = [bool(model and t and _LETTER.search(t)) for t in texts]
             names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
             some = [i for i, k in enumerate(known) if k]
-            for at in range(0, len(some), 256):
-                part = some[at : at + 256]
+            for part in _parts(texts, some):
                 for i, p in zip(part, probabilities(model, [texts[i] for i in part]), strict=True):
                     names[i], scores[i] = model.classes[int(p.argmax())], min(1.0, float(p.max()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names), pa.array(scores)], [*batch.schema.names, "lang_pred", "score"])

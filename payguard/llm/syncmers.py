@@ -3,7 +3,7 @@
 A text is a sequence of tokens; a run of five is an anchor if the least hash among its inner
 runs of two stands at its first or last place. Whether a run is chosen depends on the run
 alone, never on what surrounds it, so two documents that share a passage share its anchors, their
-positions shifted alike (``with_anchors`` gives them). The fingerprint holds the 128 least anchor
+positions shifted alike (``with_anchors`` gives them, ``matching`` lets them vote). The fingerprint holds the 128 least anchor
 hashes of the whole text without positions; the likeness of two fingerprints estimates the share
 of anchors in common among those in either, in whatever order.
 
@@ -58,6 +58,28 @@ def with_marks(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.withColumn(out, marks).drop(f"{out}_a")
 
 
+def matching(pairs: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Where two texts agree: ``a, b, shift, votes, first_at, last_at`` for the pairs ``a, b`` of ids.
+
+    Each anchor that both have votes for its shift, the tokens by which it stands later in ``b``; a mark's occurrences
+    are paired in order, the first with the first. A shared passage is a row with many votes, between the tokens
+    ``first_at`` and ``last_at`` of ``a``; behind an insertion another shift begins. Work per pair grows with its texts,
+    also where a mark is repeated. An id should have one text; of several the longest counts, of equally long ones the
+    greatest. Repeated pairs are one; null ids, unknown ids and texts without a token match nothing.
+    """
+    pairs = pairs.select(F.col("a").cast("long"), F.col("b").cast("long")).distinct()
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+    texts = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id")
+    texts = texts.groupBy("id").agg(F.max(F.struct(F.char_length("text").alias("n"), "text")).alias("x")).select("id", F.col("x.text").alias("text"))
+    each = with_anchors(texts, "text", "anchors").select("id", F.explode("anchors").alias("x"))
+    places = each.groupBy("id", "x.mark").agg(F.sort_array(F.collect_list("x.at")).alias("at"))
+    side = lambda c: pairs.join(places.select(F.col("id").alias(c), "mark", F.col("at").alias(f"{c}_at")), c)
+    both = side("a").join(side("b"), ["a", "b", "mark"]).withColumn("n", F.least(F.size("a_at"), F.size("b_at")))
+    at = F.explode(F.arrays_zip(F.slice("a_at", F.lit(1), F.col("n")), F.slice("b_at", F.lit(1), F.col("n")))).alias("x")
+    votes = both.select("a", "b", at).select("a", "b", F.col("x.0").alias("at"), (F.col("x.1") - F.col("x.0")).alias("shift"))
+    return votes.groupBy("a", "b", "shift").agg(F.count(F.lit(1)).alias("votes"), F.min("at").alias("first_at"), F.max("at").alias("last_at"))
+
+
 def written(marks: str) -> Column:
     """Marks as a string, eight hex digits each; empty without anchors."""
     return F.array_join(F.transform(marks, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
