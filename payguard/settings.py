@@ -45,3 +45,5 @@ BROADCAST_ROWS = 200_000
 INDEX_BUCKETS = 64
 # Rows of one key that the stateful job sorts in one batch; above it the registry job is the one to run.
 STATE_ROWS_PER_KEY = 1_000_000
+# State values of an operator of the stateful job, each with the entries of many keys; more for a long history and small batches.
+STATE_BUCKETS = 4_096

@@ -340,3 +340,46 @@ def test_a_key_with_too_many_rows_is_refused(spark):
     keys.init(Handle())
     with pytest.raises(ValueError, match="streaming.dedup"):
         list(keys.handleInputRows(("k",), iter([{"_us": 1}] * 3), None))
+
+
+def test_keys_of_a_bucket_share_a_state_value(spark):
+    """A call to the state store for every key made a large batch slow; the store now holds a few values."""
+    rows = mixed_rows(26, 240)
+    base = tempfile.mkdtemp()
+    write_parts(spark, rows, f"{base}/in", 3)
+    stateful.start(read_stream(spark, f"{base}/in"), f"{base}/silver", f"{base}/offsets", buckets=4).awaitTermination()
+    assert decisions(spark.read.parquet(f"{base}/silver")) == decide_by_loop(rows)
+    for variable, operator in (("held", stateful.KEYS), ("sent", stateful.PAYMENTS)):
+        assert 1 <= stateful._state(spark, f"{base}/offsets", variable, operator).count() <= 4
+    assert {r[0] for r in stateful.held_keys(spark, f"{base}/offsets").select("idempotency_key").collect()} == {k for _, k, _ in rows}
+    assert sorted(r[0] for r in stateful.sent_payments(spark, f"{base}/offsets").collect()) == sorted(p for p, _, _ in rows)
+
+
+def test_a_bucket_forgets_its_entries_one_by_one(spark):
+    """All keys in one bucket: each goes when its own time is over, also one whose timer was not the earliest."""
+    base = tempfile.mkdtemp()
+    held = []
+    for part in ([("a", "k", at(0)), ("b", "m", at(40))], [("c", "n", at(50))], [("d", "q", at(70))]):
+        write_parts(spark, part, f"{base}/in", 1)
+        stateful.await_without_loss(stateful.start(
+            read_stream(spark, f"{base}/in"), f"{base}/silver", f"{base}/offsets", retention=3600, clock="ingested_at", buckets=1))
+        held.append({r[0] for r in stateful.held_keys(spark, f"{base}/offsets").select("idempotency_key").collect()})
+    assert held == [{"m"}, {"m", "n"}, {"n", "q"}]
+    assert {r[0] for r in stateful.sent_payments(spark, f"{base}/offsets").collect()} == {"d"}
+
+
+def test_fields_beside_the_decision_pass_the_state_unchanged(spark):
+    from datetime import datetime
+    from decimal import Decimal
+
+    base = tempfile.mkdtemp()
+    odd = [
+        ("a", "k", 'q"\\\né\U0001f600', "", Decimal("12345678901234.5678"), None, "card", datetime(1969, 12, 31, 23, 59, 59, 999999), at(0), None, 1, at(0)),
+        ("b", None, None, None, None, "USD", None, None, at(1), 3, None, datetime(2024, 1, 1, 0, 0, 0, 1)),
+    ]
+    spark.createDataFrame(odd, COLUMNS).coalesce(1).write.parquet(f"{base}/in")
+    start("stateful", read_stream(spark, f"{base}/in"), base).awaitTermination()
+    names = ["payment_id", "idempotency_key", "customer_id", "merchant_id", "amount", "currency", "payment_method",
+             "event_timestamp", "processing_latency_ms", "decision_at"]
+    out = {r["payment_id"]: tuple(r) for r in spark.read.parquet(f"{base}/silver").select(*names).collect()}
+    assert out == {r[0]: (*r[:8], *r[10:]) for r in odd}
