@@ -57,6 +57,12 @@ def file_stream(
     return reader.load(path)
 
 
+def spread(batch: DataFrame) -> DataFrame:
+    """The rows of a batch dealt evenly over tasks, more of them the larger it is. A file of few row groups, or a topic of
+    few partitions, is read by as few tasks, and parsing and deciding cost far more than reading."""
+    return batch.hint("rebalance")
+
+
 def encode(events: DataFrame, embed_payload: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Events as keyed messages: ``key`` is the customer, ``value`` the JSON record.
 

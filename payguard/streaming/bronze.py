@@ -35,7 +35,7 @@ def start(
         stream = stream.withColumn("ingested_at", F.current_timestamp())
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        checked = validity.with_reasons(messages.decode(batch)).persist()
+        checked = validity.with_reasons(messages.decode(messages.spread(batch))).persist()
         try:
             for rows, path in (
                 (conform(messages.typed(validity.valid(checked)), BRONZE), bronze_path),

@@ -383,3 +383,40 @@ def test_fields_beside_the_decision_pass_the_state_unchanged(spark):
              "event_timestamp", "processing_latency_ms", "decision_at"]
     out = {r["payment_id"]: tuple(r) for r in spark.read.parquet(f"{base}/silver").select(*names).collect()}
     assert out == {r[0]: (*r[:8], *r[10:]) for r in odd}
+
+
+@pytest.mark.parametrize("kind", ["bronze", "messages", "events"])
+def test_a_batch_from_one_file_is_dealt_over_tasks(spark, monkeypatch, kind):
+    """One file is one split; parsing and deciding all of it in one task was slow, and that task read it all from the cache."""
+    from pyspark.sql import functions as F
+
+    base, seen = tempfile.mkdtemp(), []
+    small = "spark.sql.adaptive.coalescePartitions.minPartitionSize"  # else so few rows are put into one task again
+    spark.conf.set(small, "1k")
+
+    def watch(module, name):
+        known = getattr(module, name)
+        def watched(df, *a, **k):
+            if not df.isStreaming:
+                seen.append([r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()])
+            return known(df, *a, **k)
+        monkeypatch.setattr(module, name, watched)
+
+    if kind == "events":
+        write_parts(spark, [(f"p{i}", f"k{i}", at(0)) for i in range(4000)], f"{base}/in", 1)
+        watch(dedup_stream.dedup, "decide")
+        dedup_stream.start(read_stream(spark, f"{base}/in"), f"{base}/silver", f"{base}/registry", f"{base}/offsets").awaitTermination()
+    else:
+        os.makedirs(f"{base}/in")
+        with open(f"{base}/in/1.txt", "w") as f:
+            f.write("\n".join(GOOD % f"p{i}" for i in range(4000)) + "\n")
+        stream = messages.file_stream(spark, f"{base}/in", "text")
+        watch(bronze_stream.messages, "typed")
+        if kind == "bronze":
+            bronze_stream.start(stream, f"{base}/bronze", f"{base}/dead", f"{base}/offsets").awaitTermination()
+        else:
+            dedup_stream.start(dedup_stream.checked_events(stream), f"{base}/silver", f"{base}/registry", f"{base}/offsets",
+                               deadletter_path=f"{base}/dead").awaitTermination()
+    spark.conf.unset(small)
+    assert seen and sum(seen[0]) == 4000
+    assert len(seen[0]) > 1 and max(seen[0]) <= 2 * min(seen[0])
