@@ -395,13 +395,23 @@ def latency_histogram_by_status(spark, d):
 # -- streams ------------------------------------------------------------------
 
 
+def _dealt(rows):
+    """Event rows dealt evenly: a file of few row groups is read by as few tasks, and what is derived from a row costs far
+    more than the row. Also for a stream, which does not size its shuffles by what they hold."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def _event_stream(spark, d):
     schema = derived.events(spark, d).schema
-    return (
+    return _dealt(
         spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
     )
 
 
+def _faulty_rows(spark, d):
+    return derived.faulty_messages(derived.payments_from(_dealt(derived.events(spark, d))))
+
+
 def stream_bronze(spark, d):
     """The table read as a stream of messages, into Bronze and the dead letter."""
     base = run_dir(spark, "stream-bronze")
@@ -449,7 +459,7 @@ def _in_batches(spark, df, base, start, at="ingested_at", parts=4, again_as=lamb
 def _coarse_events(spark, d):
     """Coarse keys, which outlive their time to live, with the columns a decision record needs."""
     none = {c: F.lit(None).cast("string") for c in ("customer_id", "merchant_id", "currency", "payment_method")}
-    return derived.coarse_payments(spark, d).withColumns(
+    return _dealt(derived.coarse_payments(spark, d)).withColumns(
         {**none, "amount": F.lit(None).cast("decimal(18,4)"), "event_timestamp": F.col("ingested_at"),
          "decision_at": F.col("ingested_at"), "processing_latency_ms": F.lit(0).cast("bigint")}
     )
@@ -520,7 +530,7 @@ def stream_state_after_evict(spark, d):
 def stream_running_counts(spark, d):
     """Totals over four micro-batches of faulty messages, from the counter table the job keeps."""
     base = run_dir(spark, "stream-counts")
-    _in_batches(spark, derived.faulty_messages(bronze(spark, d)), base, lambda stream: dedup_stream.start(
+    _in_batches(spark, _faulty_rows(spark, d), base, lambda stream: dedup_stream.start(
         dedup_stream.checked_events(stream), f"{base}/silver", f"{base}/registry", f"{base}/offsets",
         deadletter_path=f"{base}/deadletter", counters_path=f"{base}/counters"))
     return registry.running_counts(tables.read_table(spark, f"{base}/counters", registry.COUNTERS)).drop("total_accepted", "total_rejected")
@@ -529,7 +539,7 @@ def stream_running_counts(spark, d):
 def stream_deadletter(spark, d):
     """Messages of four micro-batches that the dedup job refuses, each once: the redelivered part is a second copy."""
     base = run_dir(spark, "stream-deadletter")
-    _in_batches(spark, derived.faulty_messages(bronze(spark, d)), base, lambda stream: dedup_stream.start(
+    _in_batches(spark, _faulty_rows(spark, d), base, lambda stream: dedup_stream.start(
         dedup_stream.checked_events(stream), f"{base}/silver", f"{base}/registry", f"{base}/offsets",
         deadletter_path=f"{base}/deadletter"))
     return flat(spark.read.parquet(f"{base}/deadletter").select(

@@ -59,7 +59,7 @@ def stamp(stream: DataFrame) -> DataFrame:
 
 def checked_events(stream: DataFrame) -> DataFrame:
     """Messages with ``invalid_reason``, as the decision sees them: null in those fit for one."""
-    return validity.with_reasons(messages.decode(stream), "silver")
+    return validity.with_reasons(messages.decode(messages.spread(stream)), "silver")
 
 
 def valid_events(stream: DataFrame) -> DataFrame:
@@ -132,7 +132,8 @@ def start(
             refused = validity.invalid_decisions(checked, STAMPS) if record_invalid and errors else None
             batch = messages.typed(validity.valid(checked)).withColumn("processing_latency_ms", latency_ms())
         # What neither the decision nor its record needs is not kept or shuffled.
-        events = batch.select(*[c for c in batch.columns if c in NEEDED]).persist()
+        events = batch.select(*[c for c in batch.columns if c in NEEDED])
+        events = (messages.spread(events) if checked is None else events).persist()
         kept = [events] if checked is None else [events, checked]
         try:
             rows = events.count()
