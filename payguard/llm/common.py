@@ -60,6 +60,13 @@ def stored(df: DataFrame, label: str, *over: DataFrame) -> DataFrame:
     return out
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """For a join neither of whose sides may be broadcast. Spark sizes a table by its file or by the table it comes from,
+    which is far too low after an ``explode`` and where equal texts or ids compress well, so it would send the driver
+    tables that do not fit it; adaptive execution keeps to this hint and still splits skewed partitions."""
+    return df.hint("merge")
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

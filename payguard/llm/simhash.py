@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payguard.llm.common import documents, null_id, stored, whole_id
+from payguard.llm.common import documents, null_id, shuffled, stored, whole_id
 from payguard.llm.components import components
 from payguard.session import cut
 
@@ -111,7 +111,8 @@ def links(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFra
     keys = nodes.select("fp", F.explode(tables).alias("key"))
     # a table of its own, so that adaptive execution may split the fingerprints of a frequent key
     shared = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    rows = keys.join(shared, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    # Spark sizes the keys like the fingerprints, one for each mask
+    rows = keys.join(shuffled(shared), "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     rows = rows.withColumn("b", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     meets = rows.select("key", "fp", "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
     groups = meets.groupBy("key", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j")).agg(F.collect_list("fp").alias("fps"))
@@ -137,11 +138,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     fps = stored(fingerprints(docs, id_col, text_col, shingle), "simhash")
     nodes, roots = _linked(fps, radius)
-    linked = nodes.join(roots, F.col("fp") == F.col("node"))
+    linked = shuffled(nodes).join(roots, F.col("fp") == F.col("node"))
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     linked = roots.join(least, "root").select(F.col("node").alias("fp"), "least")
     named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(shuffled(named), "fp").select("doc_id", "fp", "component_id")
 
 
 def _linked(fps: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
