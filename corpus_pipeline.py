@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payguard.llm import language, mixing, pieces, simhash, suffixes
-from payguard.llm.common import stored
+from payguard.llm.common import shuffled, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SCORE = 0.5
@@ -52,7 +52,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     docs = _documents(docs)
     stay = simhash.survivors(docs)
     key = ["i", "h1", "h2"]
-    keyed = docs.select(*simhash.row_key(), *COLUMNS).join(stay, key)
+    keyed = docs.select(*simhash.row_key(), *COLUMNS).join(shuffled(stay), key)
     rest = [c for c in COLUMNS if c != "text"]
     # equal rows but for these columns: one of them, the same in every run
     first = keyed.groupBy(*key).agg(F.min(F.struct("lang", "source", "n_chars")).alias("r"), F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))

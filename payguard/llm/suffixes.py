@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payguard.llm.anchors import Units, by_document, distinct_blocks, keyed, repeated_blocks, with_company, with_contents
-from payguard.llm.common import NULL_ID, documents, merge_spans, stored
+from payguard.llm.common import NULL_ID, documents, merge_spans, shuffled, stored
 
 WINDOW, SEED = 100, 16
 # Bytes a shard should hold, and the distinct blocks of one anchor above which they are cut into
@@ -243,9 +243,9 @@ def _narrowed(blocks: DataFrame, window: int, seed: int, hot: int) -> tuple[list
         first = stored(parts.groupBy("anchor", "h").agg(F.min(place).alias("x"), *[F.first(c).alias(c) for c in ("at", "lo", "hi", "block")]), "bytes-parts")
         several = stored(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "bytes-groups")
         tables += [parts, first, several]
-        late.append(parts.join(first.select("anchor", "h", "x"), ["anchor", "h"]).where(place > F.col("x")).select(
+        late.append(parts.join(shuffled(first.select("anchor", "h", "x")), ["anchor", "h"]).where(place > F.col("x")).select(
             "id", "v", F.col("start").alias("a"), (F.col("start") + F.octet_length("block")).alias("b")))
-        shared = first.join(several, "anchor").select("anchor", "x.*", "at", "lo", "hi", "block", "m")
+        shared = first.join(shuffled(several), "anchor").select("anchor", "x.*", "at", "lo", "hi", "block", "m")
         fits = F.col("m") <= hot if width > 1 else F.lit(True)
         cool.append(shared.where(fits).select("anchor", "id", "v", "start", "block"))
         rest = shared.where(~fits).drop("m")
@@ -266,11 +266,11 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, seed: int = SEED, hot:
     units = Bytes()
     blocks = repeated_blocks(rows, units, seed, window, "bytes")
     first = distinct_blocks(blocks, "bytes-distinct")
-    again = blocks.join(first.where("n > 1").select("anchor", "h", F.struct("id", "v", "start").alias("x")), ["anchor", "h"])
+    again = blocks.join(shuffled(first.where("n > 1").select("anchor", "h", F.struct("id", "v", "start").alias("x"))), ["anchor", "h"])
     again = again.where(F.struct("id", "v", "start") > F.col("x")).select("id", "v", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
     # a table of its own, so that adaptive execution may split the blocks of a frequent anchor
     several = stored(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "bytes-several")
-    near = stored(with_contents(rows, first.join(several, "anchor").select("anchor", "id", "v", "start", "at", "size", "m"), units, seed, window), "bytes-near", several)
+    near = stored(with_contents(rows, first.join(shuffled(several), "anchor").select("anchor", "id", "v", "start", "at", "size", "m"), units, seed, window), "bytes-near", several)
     near = with_company(near, "bytes-company")
     cool, late, tables = _narrowed(near.where(F.col("m") > hot), window, seed, hot)
     dealt = reduce(DataFrame.unionByName, cool, near.where(F.col("m") <= hot).select("anchor", "id", "v", "start", "block"))
@@ -295,7 +295,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _with_spans(rows: DataFrame, window: int, seed: int, hot: int) -> DataFrame:
-    return rows.join(repeated_spans(rows.select("id", "v", "text"), window, seed, hot), ["id", "v"], "left")
+    return rows.join(shuffled(repeated_spans(rows.select("id", "v", "text"), window, seed, hot)), ["id", "v"], "left")
 
 
 def without_spans(data: bytes, spans) -> tuple[bytes, int, int]:

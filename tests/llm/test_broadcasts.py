@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import pytest
 
-from payguard.llm import common, components, simhash
+import corpus_pipeline
+from payguard.llm import anchors, common, components, simhash, suffixes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -17,7 +18,7 @@ def planned(df) -> str:
 def plans(monkeypatch):
     """The plans, as Spark's estimates make them, of all frames that are checkpointed or stored."""
     out = []
-    for module, name in ((simhash, "cut"), (components, "cut"), (simhash, "stored")):
+    for module, name in ((simhash, "cut"), (components, "cut"), (simhash, "stored"), (anchors, "stored"), (suffixes, "stored")):
         def kept(df, *more, f=getattr(module, name)):
             out.append(planned(df))
             return f(df, *more)
@@ -49,3 +50,19 @@ def test_the_links_of_fingerprints_are_shuffled(spark, plans):
     nodes = spark.range(40).selectExpr("id AS fp")
     assert "BroadcastHashJoin" not in planned(simhash.links(nodes))
     assert not [p for p in plans if "BroadcastHashJoin" in p]
+
+
+def planned_stage(spark, few, plans, stage, tmp_path) -> str:
+    few.write.parquet(str(tmp_path / "documents.parquet"))
+    plans.append(planned(stage(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), "")))
+    return "\n".join(plans)
+
+
+def test_near_duplicates_broadcast_no_texts(spark, few, plans, tmp_path):
+    text = planned_stage(spark, few, plans, corpus_pipeline.near_duplicates, tmp_path)
+    assert "SortMergeJoin [i#" in text and "BroadcastHashJoin [i#" not in text
+
+
+def test_passages_broadcast_nothing(spark, few, plans, tmp_path):
+    text = planned_stage(spark, few, plans, corpus_pipeline.repeated_passages, tmp_path)
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
