@@ -51,6 +51,8 @@ def insert_if_absent(
     seen = existing.select(key)
     if new_rows is not None and new_rows <= S.BROADCAST_ROWS:
         seen = seen.join(F.broadcast(new.select(key).distinct()), key, "left_semi")
+    elif new_rows is not None:
+        seen = seen.hint("merge")  # ids compress well: by its files the history would pass for small
     return firsts.join(seen, key, "left_anti")
 
 

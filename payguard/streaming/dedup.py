@@ -41,6 +41,8 @@ NEEDED = {
     "payment_id", "idempotency_key", "customer_id", "merchant_id", "amount", "currency", "payment_method",
     "event_timestamp", "processing_latency_ms", *STAMPS,
 }
+# What a dead letter needs besides.
+REFUSED = {"invalid_reason", "raw_payload"}
 
 
 def stamp(stream: DataFrame) -> DataFrame:
@@ -81,8 +83,8 @@ def carried_entries(batch: DataFrame, rows: int, registry_path: str, batch_id: i
         & (F.col("batch_id") < batch_id)
     )
     wanted = batch.select("idempotency_key").distinct()
-    if rows <= S.BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+    # beyond the bound a shuffle, whatever size Spark takes from the files
+    wanted = F.broadcast(wanted) if rows <= S.BROADCAST_ROWS else wanted.hint("merge")
     return registry.latest_entries(live.join(wanted, "idempotency_key", "left_semi"))
 
 
@@ -124,28 +126,24 @@ def start(
             publish(messages.encode_dead_letters(rows), S.TOPIC_DEADLETTER)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        checked = batch.persist() if "invalid_reason" in batch.columns else None
-        refused, errors = None, 0
-        if checked is not None:
-            refuse(checked, batch_id)
-            errors = checked.filter(F.col("invalid_reason").isNotNull()).count()
-            refused = validity.invalid_decisions(checked, STAMPS) if record_invalid and errors else None
-            batch = messages.typed(validity.valid(checked)).withColumn("processing_latency_ms", latency_ms())
-        # What neither the decision nor its record needs is not kept or shuffled.
-        events = batch.select(*[c for c in batch.columns if c in NEEDED])
-        events = (messages.spread(events) if checked is None else events).persist()
-        kept = [events] if checked is None else [events, checked]
-        try:
+        # Kept as written tables: a cache of whole messages unrolls a partition in an executor's memory.
+        with Workspace(batch.sparkSession, "batch") as work:
+            refused, errors = None, 0
+            if "invalid_reason" in batch.columns:
+                checked = work.keep(batch.select(*[c for c in batch.columns if c in NEEDED | REFUSED]))
+                refuse(checked, batch_id)
+                errors = checked.filter(F.col("invalid_reason").isNotNull()).count()
+                refused = validity.invalid_decisions(checked, STAMPS) if record_invalid and errors else None
+                events = messages.typed(validity.valid(checked)).withColumn("processing_latency_ms", latency_ms())
+                events = events.select(*[c for c in events.columns if c in NEEDED])
+            else:
+                # What neither the decision nor its record needs is not kept or shuffled.
+                events = work.keep(messages.spread(batch.select(*[c for c in batch.columns if c in NEEDED])))
             rows = events.count()
             decided = None
-            with Workspace(events.sparkSession, "batch") as work:
-                if rows or refused is not None:
-                    decided = decide(events, rows, refused, batch_id, work)
-                    kept.append(decided)
-                count(decided if rows else None, events, rows, errors, batch_id)
-        finally:
-            for df in kept:
-                df.unpersist()
+            if rows or refused is not None:
+                decided = decide(events, rows, refused, batch_id, work)
+            count(decided if rows else None, events, rows, errors, batch_id)
 
     def decide(events: DataFrame, rows: int, refused: DataFrame | None, batch_id: int, work: Workspace) -> DataFrame:
         spark = events.sparkSession
@@ -153,7 +151,7 @@ def start(
         decided = dedup.decide(events, ttl, hot_rows=hot_rows, carried=carried, work=work).drop("registry_key")
         if refused is not None:
             decided = decided.unionByName(refused, allowMissingColumns=True)
-        decided = decided.persist()
+        decided = work.keep(decided)
         taken = registry.acceptances(decided).withColumn("accepted_date", F.to_date("accepted_at"))
         # Narrow rows that every later batch reads: few files matter more than a shuffle.
         tables.replace_partitions(
@@ -164,15 +162,12 @@ def start(
             index.build(tables.read_table(spark, silver_path, SEEN).filter(F.col("batch_id") < batch_id))
         earlier = index.seen(decided, batch_id)
         new = tables.insert_if_absent(decided, earlier, order=dedup.arrival_columns(decided), new_rows=rows or None)
-        record = conform(dedup.silver_records(new), SILVER).persist()
-        try:
-            dated = record.withColumn("decision_date", F.to_date("decision_at")).withColumn("batch_id", F.lit(batch_id))
-            tables.replace_partitions(dated, silver_path, ["decision_date", "batch_id"])
-            index.add(record.select("payment_id", F.lit(batch_id).cast("long").alias("batch_id")))
-            if publish is not None:
-                publish(messages.encode_decisions(record), S.TOPIC_DECISIONS)
-        finally:
-            record.unpersist()
+        record = work.keep(conform(dedup.silver_records(new), SILVER))
+        dated = record.withColumn("decision_date", F.to_date("decision_at")).withColumn("batch_id", F.lit(batch_id))
+        tables.replace_partitions(dated, silver_path, ["decision_date", "batch_id"])
+        index.add(record.select("payment_id", F.lit(batch_id).cast("long").alias("batch_id")))
+        if publish is not None:
+            publish(messages.encode_decisions(record), S.TOPIC_DECISIONS)
         return decided
 
     def count(decided: DataFrame | None, events: DataFrame, rows: int, errors: int, batch_id: int) -> None:

@@ -420,3 +420,37 @@ def test_a_batch_from_one_file_is_dealt_over_tasks(spark, monkeypatch, kind):
     spark.conf.unset(small)
     assert seen and sum(seen[0]) == 4000
     assert len(seen[0]) > 1 and max(seen[0]) <= 2 * min(seen[0])
+
+
+def test_a_batch_is_not_held_in_memory(spark):
+    """What a batch keeps are written tables: none of its frames reads a cache of whole messages."""
+    base = tempfile.mkdtemp()
+    os.makedirs(f"{base}/in")
+    with open(f"{base}/in/1.txt", "w") as f:
+        f.write("\n".join([GOOD % "a", GOOD % "b", '{"broken']) + "\n")
+    plans = []
+    dedup_stream.start(
+        dedup_stream.checked_events(messages.file_stream(spark, f"{base}/in", "text")), f"{base}/silver", f"{base}/registry",
+        f"{base}/offsets", deadletter_path=f"{base}/dead", record_invalid=True,
+        publish=lambda rows, topic: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()),
+    ).awaitTermination()
+    assert len(plans) == 2 and not [p for p in plans if "InMemoryRelation" in p]
+
+
+def test_large_batches_meet_history_by_shuffle(spark, tmp_path):
+    """Rows counted beyond the bound are never broadcast, however small their files look."""
+    from payguard import settings
+    from payguard.operators import tables
+
+    rows = settings.BROADCAST_ROWS + 1
+    new = spark.createDataFrame([("a", at(1)), ("b", at(2))], "payment_id string, ingested_at timestamp")
+    old = spark.createDataFrame([("a",)], "payment_id string")
+    out = tables.insert_if_absent(new, old, new_rows=rows)
+    assert "Broadcast" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert [r["payment_id"] for r in out.collect()] == ["b"]
+    live = [("k", "a", at(1), at(1).date(), 0), ("l", "z", at(1), at(1).date(), 0)]
+    spark.createDataFrame(live, dedup_stream.REGISTRY_TABLE).write.partitionBy("accepted_date", "batch_id").parquet(f"{tmp_path}/registry")
+    batch = spark.createDataFrame([("k", at(2))], "idempotency_key string, ingested_at timestamp")
+    carried = dedup_stream.carried_entries(batch, rows, f"{tmp_path}/registry", 1, settings.TTL_SECONDS)
+    assert "Broadcast" not in carried._jdf.queryExecution().sparkPlan().toString()
+    assert [r["payment_id"] for r in carried.collect()] == ["a"]
